@@ -3,8 +3,9 @@
 from oracle import compose
 from oracle.datasets import GOLD, HEALTH_FAN_OUT, REPORTS, SILVER
 from oracle.hosts import BRONZE
+from oracle.payloads import PAYLOADS, RECORDS
 
-RELATIONS = {**BRONZE, **SILVER, **GOLD}
+RELATIONS = {**BRONZE, **SILVER, **GOLD, **PAYLOADS}
 
 
 def joined(relation: str, *arrays: str) -> str:
@@ -27,5 +28,6 @@ DATASETS = {
 
 
 def statements() -> dict[str, str]:
-    bodies = {**DATASETS, **REPORTS}
+    bodies = {**DATASETS, **REPORTS, **RECORDS}
+    bodies["dedupe_latest_agg"] = bodies["dedupe_latest_window"]
     return {name: compose(body, RELATIONS) for name, body in bodies.items()}

@@ -77,7 +77,7 @@ def recipients(text: Column) -> Column:
 
     The split is deliberately naive: a comma inside a quoted name splits too.
     """
-    pieces = F.transform(F.split(F.coalesce(text, F.lit("")), ","), F.trim)
+    pieces = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.trim(p))
     return F.transform(F.filter(pieces, lambda p: p != ""), address_of)
 
 
