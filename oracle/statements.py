@@ -3,6 +3,7 @@
 from oracle import compose
 from oracle.datasets import GOLD, HEALTH_FAN_OUT, REPORTS, SILVER
 from oracle.hosts import BRONZE
+from oracle.operations import OPERATIONS
 from oracle.payloads import PAYLOADS, RECORDS
 
 RELATIONS = {**BRONZE, **SILVER, **GOLD, **PAYLOADS}
@@ -28,6 +29,7 @@ DATASETS = {
 
 
 def statements() -> dict[str, str]:
-    bodies = {**DATASETS, **REPORTS, **RECORDS}
-    bodies["dedupe_latest_agg"] = bodies["dedupe_latest_window"]
+    bodies = {**DATASETS, **REPORTS, **RECORDS, **OPERATIONS}
+    for twin in ("dedupe_latest_agg", "stream_dedupe_latest"):
+        bodies[twin] = bodies["dedupe_latest_window"]
     return {name: compose(body, RELATIONS) for name, body in bodies.items()}

@@ -45,10 +45,20 @@ def _node(mime: str, *parts: Column) -> Column:
     return _say(f'{{"mimeType":"{mime}","parts":[', F.concat_ws(",", *parts), "]}")
 
 
-def mail_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_between(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...],
+                   since: Column | None = None, until: Column | None = None) -> DataFrame:
+    """Events of some kinds, optionally of a half-open time span."""
+    events = table(spark, sf_dir, "events").where(F.col("event_type").isin(*kinds))
+    if since is not None:
+        events = events.where(F.col("ts") >= since)
+    return events if until is None else events.where(F.col("ts") < until)
+
+
+def mail_messages(spark: SparkSession, sf_dir: str, since: Column | None = None,
+                  until: Column | None = None) -> DataFrame:
     """Clicks and views as messages with awkward headers and nested bodies."""
     key = F.col("event_id")
-    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+    events = events_between(spark, sf_dir, ("click", "view"), since, until)
     address = (F.when(key % 11 == 0, "No-Reply@example.com").when(key % 17 == 0, "OWNER@example.com")
                .otherwise(_say("u", _n(key % 13), "@example.com")))
     name = _say("User ", _n(key % 13))
@@ -171,10 +181,11 @@ def chat_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.struct(purpose.alias("value")).alias("purpose")))
 
 
-def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def chat_messages(spark: SparkSession, sf_dir: str, since: Column | None = None,
+                  until: Column | None = None) -> DataFrame:
     """Purchases and errors; every ninth is also seen in a second channel."""
     key = F.col("event_id")
-    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "error"))
+    events = events_between(spark, sf_dir, ("purchase", "error"), since, until)
     own = epoch_text(F.col("ts"))
     reactions = F.array(*[F.struct(F.lit(n).alias("name")) for n in "abc"])
     return versions(events, key % 9 == 0).select(

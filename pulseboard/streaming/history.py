@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pulseboard.operators.dedupe import latest_per_key
@@ -65,6 +66,11 @@ def distinct_stream(stream: DataFrame, keys: Sequence[str], event_time: str,
     """First-wins dedupe with bounded state, for messages that never change.
 
     Not the same as :func:`latest_history`: state older than ``delay`` is
-    dropped, and so are records that arrive later than that.
+    dropped, and so are records that arrive later than that. Watermarks need an
+    instant, so the wall-clock event time is carried as one while deduplicating.
     """
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    clock = "_event_time"
+    return (stream.withColumn(clock, F.col(event_time).cast("timestamp"))
+            .withWatermark(clock, delay)
+            .dropDuplicatesWithinWatermark(list(keys))
+            .drop(clock))
