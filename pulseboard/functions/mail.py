@@ -91,31 +91,71 @@ def needs_response(sender: Column, subject: Column, own_address: str) -> Column:
     return ~automatic
 
 
-def first_plain_text(payload: Column) -> Column:
-    """Body text of the first ``text/plain`` part with data, depth first.
+# Levels of nested parts that the quick body search unfolds.
+QUICK_DEPTH = 6
 
-    ``payload`` is the MIME tree as a VARIANT, of any depth. The walk is one
-    ``aggregate`` over a work list, with as many steps as the tree has objects;
-    a message without such a part yields the empty string.
-    """
+
+def _children(part: Column) -> Column:
+    return F.try_variant_get(part, "$.parts", "array<variant>")
+
+
+def _is_text(part: Column) -> Column:
+    """A ``text/plain`` part with data."""
+    return ((F.try_variant_get(part, "$.mimeType", "string") == "text/plain")
+            & (F.try_variant_get(part, "$.body.data", "string") != ""))
+
+
+def _text(part: Column) -> Column:
+    return b64url_to_text(F.try_variant_get(part, "$.body.data", "string"))
+
+
+def _has_children(part: Column) -> Column:
+    return _children(part).isNotNull() & ~F.coalesce(_is_text(part), F.lit(False))
+
+
+def _unfold(parts: Column, _level: Column) -> Column:
+    """Replace every part that is no text but has parts of its own by those."""
+    return F.when(F.exists(parts, _has_children), F.flatten(F.transform(
+        parts, lambda p: F.when(_has_children(p), _children(p)).otherwise(F.array(p))))
+    ).otherwise(parts)
+
+
+def _search(payload: Column) -> Column:
+    """First text of a tree of any depth: a work list, one step per object."""
     steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(
         F.to_json(payload), F.lit(r"\{"))))
     start = F.struct(F.lit(None).cast("string").alias("found"), F.array(payload).alias("todo"))
 
     def visit(state: Column, _step: Column) -> Column:
         part = F.get(state["todo"], F.lit(0))
-        children = F.try_variant_get(part, "$.parts", "array<variant>")
-        text = F.when(
-            F.try_variant_get(part, "$.mimeType", "string") == "text/plain",
-            F.nullif(b64url_to_text(F.try_variant_get(part, "$.body.data", "string")), F.lit("")))
         rest = F.slice(state["todo"], F.lit(2), F.size(state["todo"]))
         return F.when(
             state["found"].isNotNull() | (F.size(state["todo"]) == 0), state,
         ).otherwise(F.struct(
-            text.alias("found"),
-            F.concat(F.coalesce(children, F.array().cast("array<variant>")), rest).alias("todo")))
+            F.when(_is_text(part), F.nullif(_text(part), F.lit(""))).alias("found"),
+            F.concat(F.coalesce(_children(part), F.array().cast("array<variant>")), rest).alias(
+                "todo")))
+
+    return F.aggregate(steps, start, visit, lambda s: s["found"])
+
+
+def first_plain_text(payload: Column) -> Column:
+    """Body text of the first ``text/plain`` part with data, depth first.
+
+    ``payload`` is the MIME tree as a VARIANT. A text at the root is taken at
+    once; otherwise the tree is unfolded in place, level by level, which keeps
+    the depth-first order. Trees deeper than ``QUICK_DEPTH`` go to the slower
+    search that has no depth limit. Without such a part the result is empty.
+    """
+    levels = F.sequence(F.lit(1), F.lit(QUICK_DEPTH))
+
+    def finish(parts: Column) -> Column:
+        texts = F.transform(F.filter(parts, _is_text), _text)
+        return F.when(F.exists(parts, _has_children), _search(payload)).otherwise(
+            F.get(F.filter(texts, lambda t: t != ""), F.lit(0)))
 
-    return F.coalesce(F.aggregate(steps, start, visit, lambda s: s["found"]), F.lit(""))
+    return F.when(_is_text(payload), _text(payload)).otherwise(F.coalesce(
+        F.aggregate(levels, F.array(payload), _unfold, finish), F.lit("")))
 
 
 def has_attachment(payload: Column) -> Column:

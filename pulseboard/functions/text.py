@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # White space as a Unicode-aware strip or \s sees it. Spelled out
 # because Java's \s and SQL trim() know ASCII blanks only.
+BLANK_CHARACTERS = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 BLANKS = (r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
           r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
@@ -22,7 +25,8 @@ def clip(text: Column, width: int | None) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{BLANKS}+|{BLANKS}+\z", "")
+    """Blanks off both ends; looks at the ends only, unlike a pattern."""
+    return F.btrim(text, F.lit(BLANK_CHARACTERS))
 
 
 def html_to_text(html: Column, width: int | None = None) -> Column:
@@ -38,7 +42,7 @@ def normalise_newlines(text: Column, width: int | None = None) -> Column:
 
 def b64url_to_text(data: Column) -> Column:
     """base64url (padding optional) to text; invalid UTF-8 becomes U+FFFD."""
-    standard = F.translate(data, "-_", "+/")
+    standard = F.replace(F.replace(data, F.lit("-"), F.lit("+")), F.lit("_"), F.lit("/"))
     return F.make_valid_utf8(F.try_to_binary(standard, F.lit("base64")).cast("string"))
 
 

@@ -2,178 +2,175 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from pulseboard.functions.clock import days, now, today
-from pulseboard.hosts import AS_OF, customer_name, table, text, unless, versions
+from pulseboard.functions.meetings import decode_attendees, minutes_between
+from pulseboard.hosts import AS_OF, table, versions
 from pulseboard.schemas import (ACCOUNTS, CHAT, DOCUMENTS, EMAILS, LEGACY_ACCOUNTS, LEGACY_CHAT,
                                 LEGACY_EMAILS, LEGACY_MEETINGS, LEGACY_USE_CASES, MEETINGS,
                                 TASKS, USE_CASES)
 
-def _now() -> Column:
-    return now(AS_OF)
+RUN = f"TIMESTAMP_NTZ'{AS_OF:%Y-%m-%d %H:%M:%S}'"
+DAY = f"DATE'{AS_OF:%Y-%m-%d}'"
+EVENT_ACCOUNT = """if(user_id % 50 = 49, 'Unmatched',
+    concat('Customer#', lpad(string(user_id), 9, '0')))"""
 
 
-def _extracted(again: int) -> Column:
-    """One day before the run; second copies at ``again`` days before it."""
-    return F.when(F.col("v") == 0, _now() - days(1)).otherwise(_now() - days(again))
+def _select(rows: DataFrame, schema: StructType, columns: dict[str, str]) -> DataFrame:
+    """Columns given as SQL expressions, in the order of the schema."""
+    return rows.selectExpr(*[f"{columns[name]} AS {name}" for name in schema.names])
 
 
-def _event_account() -> Column:
-    return F.when(F.col("user_id") % 50 == 49, "Unmatched").otherwise(customer_name("user_id"))
+def _extracted(again: int) -> str:
+    """One day before the run; second copies at ``again`` days before it."""
+    return f"if(v = 0, {RUN} - INTERVAL 1 DAY, {RUN} - INTERVAL {again} DAY)"
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers; every tenth also as an older copy without revenue."""
-    customers = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    key, where = F.col("c_custkey"), text("c_nationkey")
-    rows = versions(customers, key % 10 == 0).join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
-        region, F.col("n_regionkey") == F.col("r_regionkey"))
-    arr = F.when((F.col("c_acctbal") >= 0) & (F.col("v") == 0), F.col("c_acctbal") * 200)
-    person = (key % 7).cast("string")
-    return rows.select(
-        text("c_custkey").alias("account_id"), F.col("c_name").alias("account_name"),
-        unless(key % 5 == 0, F.col("r_name")).alias("type"),
-        F.col("c_mktsegment").alias("industry"),
-        unless(key % 11 == 0, F.col("r_name")).alias("vertical"),
-        arr.alias("arr"), (arr / 4).alias("t3m_arr"),
-        (key % 5000).cast("int").alias("number_of_employees"),
-        F.when(key % 4 == 0, "").otherwise(F.concat(F.lit("City "), where)).alias("billing_city"),
-        unless(key % 3 == 0, F.concat(F.lit("S"), where)).alias("billing_state"),
-        F.col("n_name").alias("billing_country"),
-        F.concat(F.lit("Owner "), (key % 20).cast("string")).alias("owner_name"),
-        F.concat(F.lit("P"), person).alias("last_sa_engaged_id"),
-        F.concat(F.lit("Person "), person).alias("last_sa_engaged_name"),
-        _extracted(2).alias("_extracted_at")).select(*ACCOUNTS.names)
+    rows = (versions(table(spark, sf_dir, "customer"), "c_custkey % 10 = 0")
+            .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+            .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")))
+    revenue = "if(c_acctbal >= 0 AND v = 0, c_acctbal * 200, NULL)"
+    return _select(rows, ACCOUNTS, {
+        "account_id": "string(c_custkey)",
+        "account_name": "c_name",
+        "type": "if(c_custkey % 5 = 0, NULL, r_name)",
+        "industry": "c_mktsegment",
+        "vertical": "if(c_custkey % 11 = 0, NULL, r_name)",
+        "arr": revenue,
+        "t3m_arr": f"{revenue} / 4",
+        "number_of_employees": "int(c_custkey % 5000)",
+        "billing_city": "if(c_custkey % 4 = 0, '', concat('City ', c_nationkey))",
+        "billing_state": "if(c_custkey % 3 = 0, NULL, concat('S', c_nationkey))",
+        "billing_country": "n_name",
+        "owner_name": "concat('Owner ', c_custkey % 20)",
+        "last_sa_engaged_id": "concat('P', c_custkey % 7)",
+        "last_sa_engaged_name": "concat('Person ', c_custkey % 7)",
+        "_extracted_at": _extracted(2)})
 
 
 def use_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders; every twentieth also as an older copy in the first stage."""
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    key = F.col("o_orderkey")
-    rows = versions(orders, key % 20 == 0).join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    stage = unless(key % 13 == 0, F.concat(F.lit("U"), (key % 6 + 1).cast("string")))
-    return rows.select(
-        text("o_orderkey").alias("uco_id"), text("o_custkey").alias("account_id"),
-        F.col("c_name").alias("account_name"),
-        F.concat(F.lit("UC "), text("o_orderkey")).alias("uco_name"),
-        F.when(F.col("v") == 1, "U1").otherwise(stage).alias("stage"),
-        unless(key % 7 == 0, F.col("o_orderpriority")).alias("description"),
-        F.col("o_orderpriority").alias("use_case_type"),
-        unless(key % 19 == 0, F.col("o_orderstatus")).alias("implementation_status"),
-        unless(key % 3 == 0, _now() + days((key % 150 - 20).cast("int"))).alias("go_live_date"),
-        unless(key % 2 == 0, _now() + days((key % 200 - 30).cast("int"))).alias(
-            "estimated_project_go_live"),
-        (_now() - days((key % 90).cast("int"))).alias("last_modified_date"),
-        F.col("o_orderdate").alias("created_date"),
-        F.concat(F.lit("P"), (key % 7).cast("string")).alias("assigned_sa_id"),
-        F.concat(F.lit("Person "), (key % 7).cast("string")).alias("assigned_sa_name"),
-        _extracted(2).alias("_extracted_at")).select(*USE_CASES.names)
+    rows = versions(table(spark, sf_dir, "orders"), "o_orderkey % 20 = 0").join(
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name"),
+        F.expr("o_custkey = c_custkey"))
+    return _select(rows, USE_CASES, {
+        "uco_id": "string(o_orderkey)",
+        "account_id": "string(o_custkey)",
+        "account_name": "c_name",
+        "uco_name": "concat('UC ', o_orderkey)",
+        "stage": """if(v = 1, 'U1',
+            if(o_orderkey % 13 = 0, NULL, concat('U', 1 + o_orderkey % 6)))""",
+        "description": "if(o_orderkey % 7 = 0, NULL, o_orderpriority)",
+        "use_case_type": "o_orderpriority",
+        "implementation_status": "if(o_orderkey % 19 = 0, NULL, o_orderstatus)",
+        "go_live_date": f"""if(o_orderkey % 3 = 0, NULL,
+            {RUN} + make_dt_interval(int(o_orderkey % 150 - 20)))""",
+        "estimated_project_go_live": f"""if(o_orderkey % 2 = 0, NULL,
+            {RUN} + make_dt_interval(int(o_orderkey % 200 - 30)))""",
+        "last_modified_date": f"{RUN} - make_dt_interval(int(o_orderkey % 90))",
+        "created_date": "o_orderdate",
+        "assigned_sa_id": "concat('P', o_orderkey % 7)",
+        "assigned_sa_name": "concat('Person ', o_orderkey % 7)",
+        "_extracted_at": _extracted(2)})
 
 
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks and views; every seventh also as a newer copy that has been read."""
-    key = F.col("event_id")
-    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
-    rows = versions(events, key % 7 == 0)
-    thread = F.concat(text("user_id"), F.lit("-"), (key % 5).cast("string"))
-    sender = (key % 13).cast("string")
-    unread = (F.col("v") == 0) & (F.col("value") > 20)
-    return rows.select(
-        text("event_id").alias("message_id"), thread.alias("thread_id"),
-        _event_account().alias("account_name"), _event_account().alias("customer_label"),
-        F.concat(F.lit("u"), sender, F.lit("@example.com")).alias("from_email"),
-        F.concat(F.lit("User "), sender).alias("from_name"),
-        F.array(F.lit("owner@example.com")).alias("to_emails"),
-        F.array().cast("array<string>").alias("cc_emails"),
-        unless(key % 97 == 0, F.concat(F.lit("Subject "), thread)).alias("subject"),
-        F.col("props").alias("body_snippet"), F.col("props").alias("body_text"),
-        F.col("ts").alias("received_date"),
-        F.when(unread, F.array(F.lit("INBOX"), F.lit("UNREAD"))).otherwise(
-            F.array(F.lit("INBOX"))).alias("labels"),
-        unread.alias("is_unread"),
-        unless(key % 101 == 0, key % 3 != 0).alias("needs_response"),
-        (key % 4 == 0).alias("has_attachment"),
-        _extracted(0).alias("_extracted_at")).select(*EMAILS.names)
+    events = table(spark, sf_dir, "events").where("event_type IN ('click', 'view')")
+    return _select(versions(events, "event_id % 7 = 0"), EMAILS, {
+        "message_id": "string(event_id)",
+        "thread_id": "concat(user_id, '-', event_id % 5)",
+        "account_name": EVENT_ACCOUNT,
+        "customer_label": EVENT_ACCOUNT,
+        "from_email": "concat('u', event_id % 13, '@example.com')",
+        "from_name": "concat('User ', event_id % 13)",
+        "to_emails": "array('owner@example.com')",
+        "cc_emails": "cast(array() AS array<string>)",
+        "subject": """if(event_id % 97 = 0, NULL,
+            concat('Subject ', user_id, '-', event_id % 5))""",
+        "body_snippet": "props",
+        "body_text": "props",
+        "received_date": "ts",
+        "labels": "if(v = 0 AND value > 20, array('INBOX', 'UNREAD'), array('INBOX'))",
+        "is_unread": "v = 0 AND value > 20",
+        "needs_response": "if(event_id % 101 = 0, NULL, event_id % 3 <> 0)",
+        "has_attachment": "event_id % 4 = 0",
+        "_extracted_at": _extracted(0)})
 
 
 def meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sign-ups, spread over the coming weeks."""
-    key = F.col("event_id")
-    events = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
-    start = unless(key % 41 == 0, F.col("ts") + days((key % 6 * 8).cast("int")))
-    length = F.make_dt_interval(F.lit(0), F.lit(0), (key % 4 * 15 + 15).cast("int"))
-    everyone = F.array(*[F.lit(f"u{i}@example.com|accepted|U{i}") for i in range(5)])
-    return events.select(
-        text("event_id").alias("event_id"), _event_account().alias("account_name"),
-        F.concat(F.lit("Meeting "), (key % 9).cast("string")).alias("event_title"),
-        F.col("props").alias("description"), F.lit(None).cast("string").alias("location"),
-        start.alias("start_time"), unless(key % 23 == 0, start + length).alias("end_time"),
-        F.slice(everyone, F.lit(1), (key % 6).cast("int")).alias("attendees"),
-        unless(key % 3 == 0, F.concat(F.lit("https://zoom.us/j/"), text("event_id"))).alias(
-            "video_link"),
-        F.when(key % 17 == 0, "cancelled").otherwise(
-            unless(key % 29 == 0, F.lit("confirmed"))).alias("status"),
-        F.concat(F.lit("u"), (key % 13).cast("string"), F.lit("@example.com")).alias(
-            "organizer_email"),
-        F.lit(None).cast("string").alias("html_link"),
-        (_now() - days(1)).alias("_extracted_at")).select(*MEETINGS.names)
+    events = table(spark, sf_dir, "events").where("event_type = 'signup'")
+    start = "if(event_id % 41 = 0, NULL, ts + make_dt_interval(int(event_id % 6 * 8)))"
+    length = "make_dt_interval(0, 0, int(15 + event_id % 4 * 15))"
+    people = ", ".join(f"'u{i}@example.com|accepted|U{i}'" for i in range(5))
+    return _select(events, MEETINGS, {
+        "event_id": "string(event_id)",
+        "account_name": EVENT_ACCOUNT,
+        "event_title": "concat('Meeting ', event_id % 9)",
+        "description": "props",
+        "location": "string(NULL)",
+        "start_time": start,
+        "end_time": f"if(event_id % 23 = 0, NULL, {start} + {length})",
+        "attendees": f"slice(array({people}), 1, int(event_id % 6))",
+        "video_link": "if(event_id % 3 = 0, NULL, concat('https://zoom.us/j/', event_id))",
+        "status": """if(event_id % 17 = 0, 'cancelled',
+            if(event_id % 29 = 0, NULL, 'confirmed'))""",
+        "organizer_email": "concat('u', event_id % 13, '@example.com')",
+        "html_link": "string(NULL)",
+        "_extracted_at": f"{RUN} - INTERVAL 1 DAY"})
 
 
 def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases and errors; every ninth also as a newer copy without replies."""
-    key = F.col("event_id")
-    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "error"))
-    channel = (F.col("user_id") % 30).cast("string")
-    names = F.array(*[F.lit(n) for n in "abcd"])
-    return versions(events, key % 9 == 0).select(
-        text("event_id").alias("message_ts"), F.concat(F.lit("C"), channel).alias("channel_id"),
-        F.concat(F.lit("chan-"), channel).alias("channel_name"),
-        _event_account().alias("account_name"), text("user_id").alias("user_id"),
-        F.when(key % 31 == 0, "  ").otherwise(
-            F.concat("event_type", F.lit(" "), "props")).alias("message_text"),
-        F.col("ts").alias("sent_at"),
-        F.when(key % 4 == 0, (key - 1).cast("string")).alias("thread_ts"),
-        (key % 4 == 0).alias("is_reply"),
-        F.when(F.col("v") == 0, (key % 8).cast("int")).otherwise(F.lit(0)).alias("reply_count"),
-        F.slice(names, F.lit(1), (key % 5).cast("int")).alias("reactions"),
-        _extracted(0).alias("_extracted_at")).select(*CHAT.names)
+    events = table(spark, sf_dir, "events").where("event_type IN ('purchase', 'error')")
+    return _select(versions(events, "event_id % 9 = 0"), CHAT, {
+        "message_ts": "string(event_id)",
+        "channel_id": "concat('C', user_id % 30)",
+        "channel_name": "concat('chan-', user_id % 30)",
+        "account_name": EVENT_ACCOUNT,
+        "user_id": "string(user_id)",
+        "message_text": "if(event_id % 31 = 0, '  ', concat(event_type, ' ', props))",
+        "sent_at": "ts",
+        "thread_ts": "if(event_id % 4 = 0, string(event_id - 1), NULL)",
+        "is_reply": "event_id % 4 = 0",
+        "reply_count": "if(v = 0, int(event_id % 8), 0)",
+        "reactions": "slice(array('a', 'b', 'c', 'd'), 1, int(event_id % 5))",
+        "_extracted_at": _extracted(0)})
 
 
 def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns; the first turn is the parent of the others."""
-    conv, turn = F.col("conv_id"), F.col("turn")
-    due = F.date_add(today(AS_OF), (conv % 40 - 20).cast("int"))
-    no_parent = F.when(conv % 2 == 0, "")
-    return table(spark, sf_dir, "conversations").select(
-        F.concat(text("conv_id"), F.lit("-"), text("turn")).alias("task_id"),
-        F.when(turn > 0, F.concat(text("conv_id"), F.lit("-0"))).otherwise(no_parent).alias(
-            "parent_task_id"),
-        (conv % 5).cast("string").alias("tasklist_id"),
-        F.concat(F.lit("List "), (conv % 5).cast("string")).alias("tasklist_name"),
-        F.col("text").alias("title"),
-        F.when(turn % 3 == 0, "  ").otherwise(F.col("text")).alias("notes"),
-        F.when(turn == 5, "completed").otherwise("needsAction").alias("status"),
-        F.when(conv % 4 == 0, "").otherwise(F.date_format(due, "yyyy-MM-dd")).alias("due_date"),
-        F.when(turn == 0, customer_name("conv_id")).alias("account_name"),
-        F.lit("").alias("updated"), (_now() - days(1)).alias("_extracted_at")).select(*TASKS.names)
+    due = f"date_format(date_add({DAY}, int(conv_id % 40 - 20)), 'yyyy-MM-dd')"
+    return _select(table(spark, sf_dir, "conversations"), TASKS, {
+        "task_id": "concat(conv_id, '-', turn)",
+        "parent_task_id": """if(turn > 0, concat(conv_id, '-0'),
+            if(conv_id % 2 = 0, '', NULL))""",
+        "tasklist_id": "string(conv_id % 5)",
+        "tasklist_name": "concat('List ', conv_id % 5)",
+        "title": "text",
+        "notes": "if(turn % 3 = 0, '  ', text)",
+        "status": "if(turn = 5, 'completed', 'needsAction')",
+        "due_date": f"if(conv_id % 4 = 0, '', {due})",
+        "account_name": """if(turn = 0,
+            concat('Customer#', lpad(string(conv_id), 9, '0')), NULL)""",
+        "updated": "''",
+        "_extracted_at": f"{RUN} - INTERVAL 1 DAY"})
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents; every eighth also as a newer copy that is too short."""
-    key = F.col("doc_id")
-    day = F.lpad((key % 28 + 1).cast("string"), 2, "0")
-    return versions(table(spark, sf_dir, "documents"), key % 8 == 0).select(
-        text("doc_id").alias("file_id"), F.concat(F.lit("doc-"), text("doc_id")).alias("file_name"),
-        F.col("source").alias("account_name"), F.concat(F.lit("2024-01-"), day).alias(
-            "modified_time"),
-        F.when(F.col("v") == 1, "short").otherwise(F.col("text")).alias("content"),
-        _extracted(0).alias("_extracted_at")).select(*DOCUMENTS.names)
+    return _select(versions(table(spark, sf_dir, "documents"), "doc_id % 8 = 0"), DOCUMENTS, {
+        "file_id": "string(doc_id)",
+        "file_name": "concat('doc-', doc_id)",
+        "account_name": "source",
+        "modified_time": "concat('2024-01-', lpad(string(1 + doc_id % 28), 2, '0'))",
+        "content": "if(v = 0, text, 'short')",
+        "_extracted_at": _extracted(0)})
 
 
 # ---- the older tables ---------------------------------------------------------
@@ -197,8 +194,6 @@ def legacy_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def legacy_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pulseboard.functions.meetings import decode_attendees, minutes_between
-
     raw = meetings(spark, sf_dir)
     host = F.regexp_extract("organizer_email", r"^u(\d+)@", 1)
     return raw.select(

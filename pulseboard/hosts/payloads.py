@@ -29,7 +29,8 @@ def _say(*parts: object) -> Column:
 
 
 def b64url(value: Column, padded: Column | bool = False) -> Column:
-    encoded = F.translate(F.base64(F.encode(value, "utf-8")), "+/", "-_")
+    encoded = F.replace(F.replace(F.base64(F.encode(value, "utf-8")), F.lit("+"), F.lit("-")),
+                        F.lit("/"), F.lit("_"))
     bare = F.rtrim(encoded, F.lit("="))
     return bare if padded is False else F.when(padded, encoded).otherwise(bare)
 
@@ -188,7 +189,7 @@ def chat_messages(spark: SparkSession, sf_dir: str, since: Column | None = None,
     events = events_between(spark, sf_dir, ("purchase", "error"), since, until)
     own = epoch_text(F.col("ts"))
     reactions = F.array(*[F.struct(F.lit(n).alias("name")) for n in "abc"])
-    return versions(events, key % 9 == 0).select(
+    return versions(events, "event_id % 9 = 0").select(
         _say("C", _n((F.col("user_id") + F.col("v")) % 30)).alias("channel"), own.alias("ts"),
         F.when(key % 4 == 0, own).when(key % 4 == 1, "1704067200.000000")
         .when(key % 4 == 2, "").alias("thread_ts"),

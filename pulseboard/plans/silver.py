@@ -134,16 +134,20 @@ def tasks(raw: DataFrame, as_of: datetime) -> DataFrame:
 
     Finished versions are removed before the latest one is picked, so an older
     open version outlives a newer finished one. Parents are open root tasks,
-    taken as delivered: a parent delivered twice doubles its children.
+    taken as delivered: a parent delivered twice doubles its children. Root tasks
+    would all meet on the one empty parent id, so each joins on a key of its own.
     """
     still_open = raw.where(F.col("status") != COMPLETED)
     latest = latest_per_key(still_open, "task_id", tie_by=("title", "due_date"))
     is_root = F.coalesce("parent_task_id", F.lit("")) == ""
     parents = still_open.where(is_root).select(
-        F.col("task_id").alias("parent_task_id"), F.col("title").alias("parent_title"),
+        F.col("task_id").alias("_parent"), F.col("title").alias("parent_title"),
         F.col("account_name").alias("parent_account"))
+    own_key = F.concat(F.lit("\u0000"), F.col("task_id"))
+    latest = latest.withColumn(
+        "_parent", F.when(is_root, own_key).otherwise(F.col("parent_task_id")))
     due = parse_day(F.col("due_date"))
-    return latest.join(parents, "parent_task_id", "left").select(
+    return latest.join(parents, "_parent", "left").select(
         "task_id", "parent_task_id", "parent_title", "tasklist_id", "tasklist_name",
         F.col("title").alias("task_title"),
         F.when(F.col("parent_title").isNotNull(),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.catalog import Inputs, Query, joined_arrays
+from pulseboard.catalog import Query, joined_arrays
 from pulseboard.functions import clock, mail, meetings
 from pulseboard.functions import text as txt
 from pulseboard.hosts import AS_OF, bronze, payloads, table
@@ -15,6 +15,7 @@ from pulseboard.hosts.payloads import (ALIASES, KEYWORDS, LABELS, OWN_ADDRESS, P
                                        SOURCE_ALIASES)
 from pulseboard.operators import dedupe, matching
 from pulseboard.schemas import CALENDAR_EVENT
+from pulseboard.session import scratch_path
 from pulseboard.sources import calendar, chat, crm, documents, landing
 from pulseboard.sources import mail as mail_source
 from pulseboard.sources import tasks
@@ -33,8 +34,10 @@ def _on_table(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def calendar_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = payloads.calendar_events(spark, sf_dir)
-    return docs.select(landing.from_json_text(F.col("doc"), CALENDAR_EVENT).alias("e")).select("e.*")
+    """Calendar events landed as JSON lines and read with their schema."""
+    path = scratch_path(spark, "calendar")
+    payloads.calendar_events(spark, sf_dir).write.text(path)
+    return landing.read_landed_json(spark, path, CALENDAR_EVENT)
 
 
 # ---- landing -----------------------------------------------------------------
@@ -55,7 +58,10 @@ def src_chat_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = calendar.flatten_events(calendar_payloads(spark, sf_dir), AS_OF)
+    """The same events as JSON documents in a column."""
+    document = landing.from_json_text(F.col("doc"), CALENDAR_EVENT)
+    events = payloads.calendar_events(spark, sf_dir).select(document.alias("e")).select("e.*")
+    flat = calendar.flatten_events(events, AS_OF)
     return joined_arrays(flat.drop("_text", "_addresses", "_extracted_at"))
 
 

@@ -48,8 +48,9 @@ def calendar_snapshot(raw: DataFrame, dictionary: Dictionary, as_of: datetime,
     return (flatten_events(raw, as_of)
             .where(F.col("start_time").between(now(as_of) - days(back_days),
                                                now(as_of) + days(ahead_days)))
-            .withColumn("account_name", account)
-            .where(F.col("account_name").isNotNull())
+            # one row per match or none: matched once, while a filter on the
+            # match would be pushed down and evaluate it a second time
+            .withColumn("account_name", F.explode(F.array_compact(F.array(account))))
             .select("event_id", "account_name", "event_title", "description", "location",
                     "start_time", "end_time", "attendees", "video_link", "status",
                     "organizer_email", "html_link", "_extracted_at"))
