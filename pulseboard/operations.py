@@ -80,8 +80,8 @@ def view_legacy_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = legacy_tables(spark, sf_dir)
     view = legacy.daily_activity(tables["gmail_customer_emails"], tables["calendar_events"],
                                  tables["slack_messages"])
-    view.createOrReplaceTempView("sa_daily_activity")
-    return spark.table("sa_daily_activity").orderBy(F.desc("activity_date"), "source_id")
+    view.createOrReplaceTempView("daily_activity")
+    return spark.table("daily_activity").orderBy(F.desc("activity_date"), "source_id")
 
 
 def dq_not_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,8 @@ Dictionary = Sequence[tuple[str, Sequence[str]]]
 
 # Above this many keywords a dictionary belongs in a table and is joined.
 MAX_INLINE_KEYWORDS = 200
-# Above this many keywords a dictionary table is shuffled instead of broadcast.
-MAX_BROADCAST_KEYWORDS = 100_000
+# Above this many bytes of text a dictionary table is shuffled, not broadcast.
+MAX_BROADCAST_BYTES = 8_000_000
 
 
 def _check_inline(size: int) -> None:
@@ -98,7 +98,7 @@ def _grams(text: Column, width: int) -> Column:
 
 def match_keywords_join(texts: DataFrame, key: str, text: str, dictionary: DataFrame,
                         gram_width: int = 3,
-                        broadcast_rows: int = MAX_BROADCAST_KEYWORDS) -> DataFrame:
+                        broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """First-match lookup against a dictionary *table* ``(ord, account, keyword)``.
 
     A plain "contains" join has no equality, so it would compare every text
@@ -107,7 +107,7 @@ def match_keywords_join(texts: DataFrame, key: str, text: str, dictionary: DataF
     then verified. A keyword shorter than the gram is its own gram, so nothing
     is missed.
 
-    The dictionary is counted first. Up to ``broadcast_rows`` keywords it is
+    The dictionary is measured first. Up to ``broadcast_bytes`` of text it is
     broadcast, and explode, lookup and verification run in one map stage.
     Beyond that the grams are shuffled with the text's key only (a text must
     not travel once per gram), and the surviving candidates fetch their text by
@@ -123,7 +123,9 @@ def match_keywords_join(texts: DataFrame, key: str, text: str, dictionary: DataF
     lowered = texts.select(F.col(key), F.lower(F.col(text)).alias("_text"))
     grams = F.explode(F.array_distinct(F.flatten(F.array(
         *[_grams(F.col("_text"), w) for w in range(1, gram_width + 1)])))).alias("_gram")
-    if words.count() <= broadcast_rows:
+    size = words.agg(F.sum(F.octet_length("_word") + F.octet_length("account")
+                           + F.octet_length("_gram"))).first()[0] or 0
+    if size <= broadcast_bytes:
         candidates = lowered.select(key, "_text", grams).join(F.broadcast(words), "_gram")
     else:
         candidates = (lowered.select(key, grams).join(words, "_gram")

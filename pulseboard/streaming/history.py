@@ -18,6 +18,16 @@ from pyspark.sql.types import StructType
 from pulseboard.operators.dedupe import latest_per_key
 
 
+def generation(base: str, number: int) -> tuple[str, str]:
+    """Table and checkpoint folders of one generation of a history.
+
+    An incremental run goes on with the current generation. A full refresh
+    starts the next one: its rows and its memory of what was read begin anew,
+    and readers of the current generation are not disturbed meanwhile.
+    """
+    return f"{base}/generation={number}/rows", f"{base}/generation={number}/checkpoint"
+
+
 def read_landing(spark: SparkSession, path: str, schema: StructType,
                  files_per_trigger: int | None = None) -> DataFrame:
     """Stream of the parquet files that arrive in a landing folder."""

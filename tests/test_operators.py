@@ -73,8 +73,8 @@ def test_large_dictionary_must_be_a_table(spark):
         matching.match_keywords(F.col("x"), [("A", [str(i) for i in range(500)])])
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_gram_join_equals_brute_force(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [1_000_000, 0])
+def test_gram_join_equals_brute_force(spark, broadcast_bytes):
     rng = random.Random(7)
     texts = [(i, "".join(rng.choice("abcD é") for _ in range(rng.randint(0, 30)))) for i in range(300)]
     texts += [(1000, None), (1001, "")]
@@ -83,7 +83,7 @@ def test_gram_join_equals_brute_force(spark, broadcast_rows):
     got = matching.match_keywords_join(
         spark.createDataFrame(texts, "id int, t string"), "id", "t",
         spark.createDataFrame(words, "ord int, account string, keyword string"),
-        broadcast_rows=broadcast_rows)
+        broadcast_bytes=broadcast_bytes)
 
     def brute(text):
         return next((a for _, a, w in words if w and text and w.lower() in text.lower()), None)

@@ -215,6 +215,23 @@ def test_history_resumes_and_tolerates_redelivery(spark, path):
     assert after.count() == silver_rows and after.exceptAll(before).count() == 0
 
 
+def test_full_refresh_reads_everything_again(spark, path):
+    emails = bronze.emails(spark, SF_DIR)
+    early = F.col("received_date") < F.lit("2024-01-15").cast("timestamp_ntz")
+
+    def run(number):
+        rows, checkpoint = history.generation(path, number)
+        history.append_stream(history.read_landing(spark, path + "/in", EMAILS), rows, checkpoint)
+        return history.read_history(spark, rows, EMAILS)
+
+    for part in (emails.where(early), emails.where(~early)):
+        part.write.mode("append").parquet(path + "/in")
+        kept = run(0)
+    fresh = run(1)
+    assert kept.count() == fresh.count() == emails.count()
+    assert kept.exceptAll(fresh).count() == 0
+
+
 def test_repeated_batch_does_not_add_rows(spark, path):
     payloads.chat_messages(spark, SF_DIR).write.parquet(path + "/in")
 
