@@ -14,6 +14,8 @@ from pulseboard.functions.text import STORED_SNIPPET, STORED_TEXT, clip, html_to
 from pulseboard.operators.dedupe import first_per_key
 from pulseboard.operators.matching import label_hits
 
+# Chosen messages (labels x newest per label) that may be broadcast.
+MAX_BROADCAST_CHOSEN = 50_000
 # Look-back in days and newest messages kept per label and run.
 SNAPSHOT_DAYS, SNAPSHOT_PER_LABEL = 30, 25
 INCREMENTAL_DAYS, INCREMENTAL_PER_LABEL = 2, 50
@@ -26,16 +28,29 @@ def select_labelled(raw: DataFrame, accounts: Mapping[str, str], as_of: datetime
     Adds ``received_date`` and ``account_name``. The newest ``per_label`` are
     taken per label first (None keeps all); a message that is among the newest
     of several labels then goes to the label listed first.
+
+    The choice reads ids, labels and dates only; bodies, the bulk of the data,
+    are neither read nor sorted for it. The chosen ids are at most labels x
+    ``per_label``: within ``MAX_BROADCAST_CHOSEN`` they are broadcast to the
+    scan that fetches the bodies.
     """
-    dated = (raw.withColumn("received_date",
-                            parse_mail_date(m.header(F.col("headers"), "date"), now(as_of)))
-             .where(F.col("received_date") >= now(as_of) - days(back_days)))
-    hits = dated.withColumn("_hit", F.explode(label_hits(F.col("labelIds"), accounts)))
+    narrow = raw.select(
+        "id", label_hits(F.col("labelIds"), accounts).alias("_hits"),
+        parse_mail_date(m.header(F.col("headers"), "date"), now(as_of)).alias("received_date"))
+    hits = (narrow.where(F.col("received_date") >= now(as_of) - days(back_days))
+            .select("id", "received_date", F.explode("_hits").alias("_hit"))
+            .distinct())                            # copies take one place, not two
     if per_label is not None:
         hits = first_per_key(hits, "_hit.ord",
                              [F.col("received_date").desc(), F.col("id")], limit=per_label)
-    chosen = first_per_key(hits, "id", [F.col("_hit.ord"), F.col("received_date").desc()])
-    return chosen.withColumn("account_name", F.col("_hit.account")).drop("_hit")
+    best = F.min_by(F.struct(F.col("_hit.account").alias("account_name"), "received_date"),
+                    F.struct("_hit.ord", F.col("received_date")))
+    chosen = hits.groupBy("id").agg(best.alias("_best")).select("id", "_best.*")
+    if per_label is not None and per_label * len(accounts) <= MAX_BROADCAST_CHOSEN:
+        chosen = F.broadcast(chosen)
+    # a message delivered more than once in this landing is stored once
+    copies = raw.join(chosen, "id")
+    return first_per_key(copies, "id", [F.array_join("labelIds", ",").desc_nulls_last()])
 
 
 def to_emails(selected: DataFrame, own_address: str, as_of: datetime,

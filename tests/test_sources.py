@@ -75,6 +75,14 @@ def test_label_cap_comes_before_first_label(spark, path):
         "m1": "Account A", "m2": "Account A", "m3": "Account B", "m6": "Account A"}
 
 
+def test_copies_take_one_place_under_the_cap(spark, path):
+    raw = landed(spark, path, MAIL_MESSAGE, [
+        message(1, ["Label_0"], 30), message(1, ["Label_0"], 30), message(2, ["Label_0"], 29),
+        message(3, ["Label_0"], 28)])
+    got = mail.emails_snapshot(raw, LABELS, OWN_ADDRESS, AS_OF, per_label=2)
+    assert sorted(r["message_id"] for r in got.collect()) == ["m1", "m2"]
+
+
 def test_mail_defaults(spark, path):
     raw = landed(spark, path, MAIL_MESSAGE, [message(1, ["Label_0", "UNREAD"], 30)])
     row = mail.emails_snapshot(raw, LABELS, OWN_ADDRESS, AS_OF).first()
