@@ -109,7 +109,7 @@ FROM (SELECT *, arg_min(account, ord) OVER (PARTITION BY id) AS account_name,
           row_number() OVER (PARTITION BY id ORDER BY ord) AS nth
       FROM (SELECT m.* REPLACE (CASE WHEN event_id % 37 = 0 THEN {run} ELSE received_date END
                                 AS received_date), a.ord, a.account
-            FROM p_mail m, unnest(labels) t(label) JOIN label_accounts a USING (label)
+            FROM p_mail m, unnest(list_distinct(labels)) t(label) JOIN label_accounts a USING (label)
             WHERE ({seen}) AND (event_id % 37 = 0 OR received_date >= {run} - to_days({back_days}))
             QUALIFY row_number() OVER (PARTITION BY a.ord ORDER BY CASE WHEN event_id % 37 = 0
                 THEN {run} ELSE received_date END DESC, id) <= {per_label}))
