@@ -17,7 +17,7 @@ from pulseboard.hosts import AS_OF, bronze, payloads
 from pulseboard.hosts.payloads import KEYWORDS, LABELS, OWN_ADDRESS
 from pulseboard.operators import quality
 from pulseboard.plans import legacy
-from pulseboard.schemas import ACCOUNTS, CHAT, CHAT_MESSAGE, EMAILS, LEGACY_KEYS, MAIL_MESSAGE
+from pulseboard.schemas import ACCOUNTS, CHAT, CHAT_MESSAGE, EMAILS, LEGACY, MAIL_MESSAGE
 from pulseboard.session import scratch_path
 from pulseboard.sources import chat, landing, sinks
 from pulseboard.sources import mail as mail_source
@@ -72,7 +72,8 @@ def ops_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legacy_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     builders = (bronze.legacy_accounts, bronze.legacy_use_cases, bronze.legacy_emails,
                 bronze.legacy_meetings, bronze.legacy_chat)
-    return {name: build(spark, sf_dir) for name, build in zip(LEGACY_KEYS, builders)}
+    return {name: quality.require_schema(build(spark, sf_dir), schema)
+            for (name, schema), build in zip(LEGACY.items(), builders)}
 
 
 def view_legacy_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +87,8 @@ def view_legacy_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_not_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.null_key_counts({
-        name: (df, [LEGACY_KEYS[name]]) for name, df in legacy_tables(spark, sf_dir).items()})
+        name: (df, quality.declared_keys(LEGACY[name]))
+        for name, df in legacy_tables(spark, sf_dir).items()})
 
 
 def ops_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,10 +23,18 @@ def null_key_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
+def declared_keys(schema: StructType) -> list[str]:
+    """Columns a schema declares NOT NULL."""
+    return [f.name for f in schema if not f.nullable]
+
+
 def require_schema(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the declared columns in order, refusing missing or mistyped ones."""
-    actual = {f.name: f.dataType for f in df.schema}
-    wrong = [f.name for f in schema if actual.get(f.name) != f.dataType]
+    """Select the declared columns in order, refusing missing or mistyped ones.
+
+    Nullability is data, not type: :func:`null_key_counts` looks at that.
+    """
+    actual = {f.name: f.dataType.simpleString() for f in df.schema}
+    wrong = [f.name for f in schema if actual.get(f.name) != f.dataType.simpleString()]
     if wrong:
         raise ValueError(f"columns missing or of another type: {', '.join(wrong)}")
     return df.select(*schema.names)

@@ -128,13 +128,13 @@ LEGACY_CHAT = with_key("message_ts", struct(
     is_thread_reply=FLAG, reply_count=INT, reactions=TEXTS, has_files=FLAG, message_date=TIME,
     **_ORIGIN))
 
-# Names of the older tables and their declared keys.
-LEGACY_KEYS = {
-    "sf_accounts": "account_id",
-    "sf_use_cases": "uco_id",
-    "gmail_customer_emails": "message_id",
-    "calendar_events": "event_id",
-    "slack_messages": "message_ts",
+# Names of the older tables.
+LEGACY = {
+    "sf_accounts": LEGACY_ACCOUNTS,
+    "sf_use_cases": LEGACY_USE_CASES,
+    "gmail_customer_emails": LEGACY_EMAILS,
+    "calendar_events": LEGACY_MEETINGS,
+    "slack_messages": LEGACY_CHAT,
 }
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pulseboard.operators.quality import require_schema
 from pulseboard.schemas import RUN_LOG
+from pulseboard.sources.landing import BAD_RECORD
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
@@ -39,24 +40,29 @@ def logged_write(df: DataFrame, source: str, write: Callable[[DataFrame], None],
                  log_path: str) -> None:
     """Run ``write(df)`` and append one line about it to the run log.
 
-    The row count is observed while the rows are written, not by a second pass.
-    A failed write is logged as FAILED and raised again.
+    Rows are counted while they are written, not by a second pass. Of a frame
+    read with ``read_landed_json``, unreadable lines are not written but their
+    number is noted. A failed write is logged as FAILED and raised again.
     """
     spark = df.sparkSession
     observation = Observation()
+    bad = F.col(BAD_RECORD).isNotNull() if BAD_RECORD in df.columns else F.lit(False)
+    observed = df.observe(observation, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("bad"))
     started, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.monotonic()
 
-    def log(status: str, rows: int, error: str | None) -> None:
-        line = (uuid.uuid4().hex, source, status, rows, started, time.monotonic() - clock, error)
+    def log(status: str, rows: int, detail: str | None) -> None:
+        line = (uuid.uuid4().hex, source, status, rows, started, time.monotonic() - clock, detail)
         (spark.createDataFrame([line], RUN_LOG).coalesce(1)
          .write.mode("append").parquet(log_path))
 
     try:
-        write(df.observe(observation, F.count(F.lit(1)).alias("rows")))
+        write(observed.where(~bad).drop(BAD_RECORD))
     except Exception as error:
         log("FAILED", 0, str(error))
         raise
-    log("SUCCESS", observation.get["rows"], None)
+    counts = observation.get
+    log("SUCCESS", counts["rows"],
+        f"{counts['bad']} unreadable records" if counts["bad"] else None)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:

@@ -126,7 +126,7 @@ def _leaf(mime, text, **more):
 
 
 def _python_body(part):
-    """Depth-first reference result for the tests."""
+    """The same search as a plain recursive function."""
     if part.get("mimeType") == "text/plain" and part.get("body", {}).get("data"):
         return base64.urlsafe_b64decode(part["body"]["data"] + "==").decode()
     return next((t for t in map(_python_body, part.get("parts", [])) if t), "")

@@ -124,5 +124,6 @@ def test_declared_schemas(spark):
     empty = empty_like(spark, EMAILS)
     assert empty.count() == 0 and empty.schema == EMAILS
     assert not LEGACY_EMAILS["message_id"].nullable and LEGACY_EMAILS["subject"].nullable
+    assert quality.declared_keys(LEGACY_EMAILS) == ["message_id"]
     with pytest.raises(ValueError):
         quality.require_schema(spark.createDataFrame([(1,)], "message_id int"), EMAILS)

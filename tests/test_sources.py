@@ -169,6 +169,16 @@ def test_run_log_records_success_and_failure(spark, path):
     assert log["bad"]["status"] == "FAILED" and "boom" in log["bad"]["error_detail"]
 
 
+def test_run_log_notes_unreadable_lines(spark, path):
+    df = landed(spark, path + "/in", CALENDAR_EVENT, [{"id": "1"}, "{broken", {"id": "2"}])
+    sinks.logged_write(df, "meetings", lambda d: sinks.write_snapshot(d, path + "/t"), path + "/log")
+    line = sinks.read_run_log(spark, path + "/log").first()
+    assert (line["status"], line["rows_ingested"], line["error_detail"]) == (
+        "SUCCESS", 2, "1 unreadable records")
+    written = spark.read.parquet(path + "/t")
+    assert written.columns == CALENDAR_EVENT.names and written.count() == 2
+
+
 def test_clustered_files_cover_disjoint_ranges(spark, path):
     df = spark.range(4000).select((F.col("id") % 2).alias("account"), "id")
     merge = "spark.sql.adaptive.coalescePartitions.enabled"
