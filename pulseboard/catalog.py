@@ -72,7 +72,7 @@ class Inputs:
 
     @property
     def activity(self) -> DataFrame:
-        return gold.activity(self.emails, self.calendar, self.chat, AS_OF)
+        return gold.tiered_activity(self.activity_core, self.accounts)
 
     @property
     def activity_core(self) -> DataFrame:

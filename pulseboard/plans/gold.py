@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pulseboard.functions import classify as c
 from pulseboard.functions.clock import age_days
+from pulseboard.plans.silver import with_tier
 
 # Chat window of the timeline and scorecard, and of the score.
 CHAT_DAYS, SCORED_CHAT_DAYS = 14, 7
@@ -90,13 +91,19 @@ def activity(emails: DataFrame, meetings: DataFrame, chat: DataFrame,
     """Mails to answer, past and near meetings, engaged chat of two weeks.
 
     The union itself does not shuffle, and filters on it reach every source.
-    Given core facts (no revenue tier) it yields the timeline without a tier.
+    Given core facts (no revenue tier) it yields the timeline without a tier,
+    see :func:`tiered_activity`.
     """
     return (mail_entries(emails)
             .unionByName(meeting_entries(meetings, as_of))
             .unionByName(chat_entries(chat)))
 
 
+def tiered_activity(core: DataFrame, accounts: DataFrame) -> DataFrame:
+    """The timeline of core facts with the tier: one join instead of one per fact."""
+    return with_tier(core, accounts).select(*TIMELINE)
+
+
 def without_tier(facts: DataFrame, key: str) -> DataFrame:
     """Core facts from stored silver facts: one row per id again.
 

@@ -118,6 +118,8 @@ def test_timeline_is_the_sum_of_its_parts(small):
         gold.mail_entries(small["emails"]).count()
         + gold.meeting_entries(small["calendar"], AS_OF).count()
         + gold.chat_entries(small["chat"]).count())
+    core = gold.activity(small["emails_core"], small["calendar_core"], small["chat_core"], AS_OF)
+    assert rows(gold.tiered_activity(core, small["accounts"])) == rows(timeline)
     detail = {r["activity_id"]: r["activity_detail"] for r in timeline.collect()}
     assert detail["e2"] == "UPCOMING | 45 min | 1 attendees"
     assert detail["c3"] == "hi | Replies: 3 | Reactions: 0"
