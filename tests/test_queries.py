@@ -12,11 +12,16 @@ def con():
     return duck(SF_DIR)
 
 
+OWN = {**entry.catalog.DATASETS, **entry.catalog.REPORTS, **entry.records.RECORDS,
+       **entry.operations.OPERATIONS}
+
+
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.queries())
+    assert set(OWN) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_statement(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert differences(df, con, entry.oracle_sql()[name]) == []
