@@ -52,7 +52,7 @@ SELECT 'slack' AS activity_type, account_name, sent_at AS activity_date,
     message_text AS summary, 'MESSAGE' AS status, message_ts AS source_id,
     _extracted_at AS ingested_at
 FROM in_chat""",
-    "stream_email_append": _two_runs(email_run, "ts", 2, 50),
+    "stream_email_append": _two_runs(email_run, "ts", 2),
     "stream_chat_append": _two_runs(chat_run, "sent_at", 2),
     "stream_dedupe_watermark": """
 SELECT DISTINCT message_ts, channel_id, message_text, sent_at FROM in_chat""",

@@ -101,8 +101,12 @@ _EMAIL_COLUMNS = """id AS message_id, thread_id, account_name, account_name AS c
     array_to_string(labels, ';') AS labels, is_unread, needs_response, has_attachment"""
 
 
-def email_run(run: str, back_days: int, per_label: int, seen: str = "true") -> str:
+def email_run(run: str, back_days: int, per_label: int | None = None,
+              seen: str = "true") -> str:
     """One mail run at time ``run`` over the messages that satisfy ``seen``."""
+    newest = "" if per_label is None else f"""
+            QUALIFY row_number() OVER (PARTITION BY a.ord ORDER BY CASE WHEN event_id % 37 = 0
+                THEN {run} ELSE received_date END DESC, id) <= {per_label}"""
     return f"""
 SELECT {_EMAIL_COLUMNS}, {run} AS _extracted_at
 FROM (SELECT *, arg_min(account, ord) OVER (PARTITION BY id) AS account_name,
@@ -110,9 +114,7 @@ FROM (SELECT *, arg_min(account, ord) OVER (PARTITION BY id) AS account_name,
       FROM (SELECT m.* REPLACE (CASE WHEN event_id % 37 = 0 THEN {run} ELSE received_date END
                                 AS received_date), a.ord, a.account
             FROM p_mail m, unnest(list_distinct(labels)) t(label) JOIN label_accounts a USING (label)
-            WHERE ({seen}) AND (event_id % 37 = 0 OR received_date >= {run} - to_days({back_days}))
-            QUALIFY row_number() OVER (PARTITION BY a.ord ORDER BY CASE WHEN event_id % 37 = 0
-                THEN {run} ELSE received_date END DESC, id) <= {per_label}))
+            WHERE ({seen}) AND (event_id % 37 = 0 OR received_date >= {run} - to_days({back_days})){newest}))
 WHERE nth = 1"""
 
 
@@ -154,14 +156,15 @@ SELECT o_orderkey::VARCHAR AS uco_id, o_custkey::VARCHAR AS account_id,
 FROM orders WHERE o_custkey IN (
     SELECT c_custkey FROM customer WHERE c_custkey % 7 = 3 AND c_custkey % 8 <> 0)""",
     "src_staging_scan": "SELECT * FROM in_accounts",
-    "src_email_snapshot": email_run(RUN, 30, 25),
+    "src_email_snapshot": email_run(RUN, 30),
+    "src_email_newest": email_run(RUN, 30, 25),
     "src_calendar_snapshot": f"""
 SELECT {_EVENT_COLUMNS}, ifnull({keyword_account(
     "event_title || ' ' || description || ' ' || ifnull(location, '')")}, account)
     AS account_name, {RUN} AS _extracted_at
 FROM p_events JOIN guest_accounts USING (id)
-WHERE account_name IS NOT NULL AND start_time >= {RUN} - to_days(30)
-  AND start_time <= {RUN} + to_days(60)""",
+WHERE account_name IS NOT NULL AND (start_time IS NULL OR (start_time >= {RUN} - to_days(30)
+  AND start_time <= {RUN} + to_days(60)))""",
     "src_chat_snapshot": chat_run(RUN, 14),
     "src_tasks_snapshot": f"""
 SELECT conv_id || '-' || turn AS task_id, CASE WHEN turn > 0 THEN conv_id || '-0' END
@@ -184,9 +187,8 @@ WITH RECURSIVE below AS (
     SELECT p_partkey, account_name FROM part JOIN below ON p_partkey // 10 = folder)
 SELECT 'D' || doc_id AS file_id, 'doc-' || doc_id AS file_name, account_name,
     '2024-01-15' AS modified_time,
-    left(regexp_replace(regexp_replace(replace("text", chr(10), repeat(chr(10), 4)),
-        '\n{{3,}}', repeat(chr(10), 2), 'g'), '^{BLANKS}+|{BLANKS}+\z', '', 'g'), 4000)
-        AS content,
+    regexp_replace(regexp_replace(replace("text", chr(10), repeat(chr(10), 4)),
+        '\n{{3,}}', repeat(chr(10), 2), 'g'), '^{BLANKS}+|{BLANKS}+\z', '', 'g') AS content,
     {RUN} AS _extracted_at
 FROM documents JOIN below ON folder = doc_id WHERE source <> 'src7' AND content <> ''""",
     "match_keywords_expr": f"SELECT p_partkey, p_name, {keyword_account('p_name')} AS account "

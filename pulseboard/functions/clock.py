@@ -12,6 +12,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Zone words of mail dates.
+ZONES = {"EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700",
+         "MDT": "-0600", "PST": "-0800", "PDT": "-0700", "AST": "-0400", "ADT": "-0300"}
+
+
 def now(as_of: datetime) -> Column:
     """The run time as a literal; a literal keeps range filters pushable."""
     return F.expr(f"TIMESTAMP_NTZ'{as_of:%Y-%m-%d %H:%M:%S.%f}'")
@@ -52,10 +57,15 @@ def parse_mail_date(text: Column, fallback: Column) -> Column:
     """RFC 2822 date to UTC; anything unreadable becomes ``fallback``.
 
     The weekday is removed first because Spark does not parse weekday names;
-    so is a trailing zone comment, and zone words become an offset.
+    so is a trailing zone comment, and zone words become an offset. Years of two
+    digits count from 2000 up to 49, else from 1900.
     """
     bare = F.regexp_replace(text, r"^\s*[A-Za-z]{3},\s*|\s*\([^)]*\)\s*$", "")
+    bare = F.regexp_replace(bare, r"^\s*(\d{1,2} [A-Za-z]{3}) ([0-4]\d) ", "$1 20$2 ")
+    bare = F.regexp_replace(bare, r"^\s*(\d{1,2} [A-Za-z]{3}) ([5-9]\d) ", "$1 19$2 ")
     numeric = F.regexp_replace(bare, r"\s+(GMT|UTC|UT|Z)$", " +0000")
+    for word, offset in ZONES.items():
+        numeric = F.regexp_replace(numeric, rf"\s+{word}$", f" {offset}")
     with_seconds = F.try_to_timestamp(numeric, F.lit("d MMM yyyy HH:mm:ss Z"))
     without = F.try_to_timestamp(numeric, F.lit("d MMM yyyy HH:mm Z"))
     return F.coalesce(utc_ntz(F.coalesce(with_seconds, without)), fallback)

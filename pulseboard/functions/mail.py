@@ -133,8 +133,8 @@ def _search(payload: Column) -> Column:
             state["found"].isNotNull() | (F.size(state["todo"]) == 0), state,
         ).otherwise(F.struct(
             F.when(_is_text(part), F.nullif(_text(part), F.lit(""))).alias("found"),
-            F.concat(F.coalesce(_children(part), F.array().cast("array<variant>")), rest).alias(
-                "todo")))
+            F.concat(F.coalesce(F.when(_has_children(part), _children(part)),
+                                F.array().cast("array<variant>")), rest).alias("todo")))
 
     return F.aggregate(steps, start, visit, lambda s: s["found"])
 

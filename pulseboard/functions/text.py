@@ -13,10 +13,8 @@ BLANK_CHARACTERS = (
 BLANKS = (r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
           r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
-# Widths of stored and preview text.
+# Fixed value: width of a preview of a long text.
 STORED_TEXT = 4000
-STORED_DESCRIPTION = 2000
-STORED_SNIPPET = 500
 
 
 def clip(text: Column, width: int | None) -> Column:

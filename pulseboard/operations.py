@@ -59,7 +59,8 @@ def bronze_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "bronze")
     for source in BRONZE_SOURCES:
         sinks.logged_write(getattr(bronze, source)(spark, sf_dir), source,
-                           lambda df, s=source: sinks.write_snapshot(df, f"{out}/{s}"),
+                           lambda df, observe, s=source: sinks.write_snapshot(
+                               df, f"{out}/{s}", observe),
                            f"{out}/run_log")
     return sinks.read_run_log(spark, f"{out}/run_log")
 
@@ -116,7 +117,7 @@ def stream_email_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = history.read_landing(spark, landed, MAIL_MESSAGE)
         history.append_batches(
             stream, lambda batch: mail_source.emails_incremental(
-                batch, LABELS, OWN_ADDRESS, run_time), path, checkpoint, str(number))
+                batch, LABELS, OWN_ADDRESS, run_time), path, checkpoint)
 
     path = _two_runs(
         spark, "mail", payloads.mail_messages(spark, sf_dir, until=now(yesterday)),
@@ -134,7 +135,7 @@ def stream_chat_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = history.read_landing(spark, landed, CHAT_MESSAGE)
         history.append_batches(
             stream, lambda batch: chat.chat_incremental(
-                channels, batch, KEYWORDS, run_time), path, checkpoint, str(number))
+                channels, batch, KEYWORDS, run_time), path, checkpoint)
 
     path = _two_runs(
         spark, "chat", payloads.chat_messages(spark, sf_dir, until=now(yesterday)),
@@ -151,7 +152,8 @@ def stream_dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     again = F.col("_extracted_at") == now(AS_OF)
     path = _two_runs(spark, "latest", emails.where(~again), emails.where(again), run)
-    return history.latest_history(history.read_history(spark, path, EMAILS), "message_id").select(
+    return history.latest_history(history.read_history(spark, path, EMAILS), "message_id",
+                                  ("received_date", "is_unread")).select(
         "message_id", "is_unread", "received_date", "_extracted_at")
 
 

@@ -14,17 +14,6 @@ from pyspark.sql import functions as F
 
 Dictionary = Sequence[tuple[str, Sequence[str]]]
 
-# Above this many keywords a dictionary belongs in a table and is joined.
-MAX_INLINE_KEYWORDS = 200
-# Above this many bytes of text a dictionary table is shuffled, not broadcast.
-MAX_BROADCAST_BYTES = 8_000_000
-
-
-def _check_inline(size: int) -> None:
-    if size > MAX_INLINE_KEYWORDS:
-        raise ValueError(f"{size} keywords: put the dictionary in a table and use "
-                         "match_keywords_join")
-
 
 def match_keywords(text: Column, dictionary: Dictionary, word_boundary: bool = False) -> Column:
     """Account of the first dictionary entry that hits, else NULL.
@@ -32,7 +21,6 @@ def match_keywords(text: Column, dictionary: Dictionary, word_boundary: bool = F
     A row-level expression: no join, no shuffle. Substrings inside words count
     unless ``word_boundary`` is set.
     """
-    _check_inline(sum(len(words) for _, words in dictionary))
     lowered = F.lower(text)
     expr = F.lit(None).cast("string")
     for account, words in reversed(list(dictionary)):
@@ -61,7 +49,6 @@ def match_attendee_domain(addresses: Column, dictionary: Dictionary) -> Column:
 
 def label_hits(labels: Column, accounts: Mapping[str, str]) -> Column:
     """array<struct<ord,account>> of the labels the mapping knows."""
-    _check_inline(len(accounts))
     known = F.create_map(*[
         F.lit(v) if i % 2 == 0 else v
         for ord_, (label, account) in enumerate(accounts.items())
@@ -97,8 +84,7 @@ def _grams(text: Column, width: int) -> Column:
 
 
 def match_keywords_join(texts: DataFrame, key: str, text: str, dictionary: DataFrame,
-                        gram_width: int = 3,
-                        broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+                        gram_width: int = 3) -> DataFrame:
     """First-match lookup against a dictionary *table* ``(ord, account, keyword)``.
 
     A plain "contains" join has no equality, so it would compare every text
@@ -107,12 +93,10 @@ def match_keywords_join(texts: DataFrame, key: str, text: str, dictionary: DataF
     then verified. A keyword shorter than the gram is its own gram, so nothing
     is missed.
 
-    The dictionary is measured first. Up to ``broadcast_bytes`` of text it is
-    broadcast, and explode, lookup and verification run in one map stage.
-    Beyond that the grams are shuffled with the text's key only (a text must
-    not travel once per gram), and the surviving candidates fetch their text by
-    key; grams shared by many texts are split by adaptive execution. Either way
-    the best match per text is found by partial aggregation.
+    Grams travel with the text's key only (a text must not travel once per
+    gram), and the candidates fetch their text by key. Whether the dictionary is
+    broadcast is Spark's own size check; grams shared by many texts are split by
+    adaptive execution. The best match per text is found by partial aggregation.
 
     Returns ``texts`` plus ``account`` (NULL when nothing matches); ``key``
     must be unique in ``texts``.
@@ -123,14 +107,8 @@ def match_keywords_join(texts: DataFrame, key: str, text: str, dictionary: DataF
     lowered = texts.select(F.col(key), F.lower(F.col(text)).alias("_text"))
     grams = F.explode(F.array_distinct(F.flatten(F.array(
         *[_grams(F.col("_text"), w) for w in range(1, gram_width + 1)])))).alias("_gram")
-    size = words.agg(F.sum(F.octet_length("_word") + F.octet_length("account")
-                           + F.octet_length("_gram"))).first()[0] or 0
-    if size <= broadcast_bytes:
-        candidates = lowered.select(key, "_text", grams).join(F.broadcast(words), "_gram")
-    else:
-        candidates = (lowered.select(key, grams).join(words, "_gram")
-                      .select(key, "ord", "account", "_word")
-                      .join(lowered, key))
+    candidates = (lowered.select(key, grams).join(words, "_gram")
+                  .select(key, "ord", "account", "_word").join(lowered, key))
     best = (candidates.where(F.col("_text").contains(F.col("_word")))
             .groupBy(key).agg(F.min(F.struct("ord", "account")).alias("_best"))
             .select(key, F.col("_best.account").alias("account")))

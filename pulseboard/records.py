@@ -40,6 +40,12 @@ def calendar_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_landed_json(spark, path, CALENDAR_EVENT)
 
 
+def calendar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events read from JSON documents in a column."""
+    document = landing.from_json_text(F.col("doc"), CALENDAR_EVENT)
+    return payloads.calendar_events(spark, sf_dir).select(document.alias("e")).select("e.*")
+
+
 # ---- landing -----------------------------------------------------------------
 def src_use_cases_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crm.flatten_use_cases(payloads.crm_use_cases(spark, sf_dir),
@@ -59,9 +65,7 @@ def src_chat_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as JSON documents in a column."""
-    document = landing.from_json_text(F.col("doc"), CALENDAR_EVENT)
-    events = payloads.calendar_events(spark, sf_dir).select(document.alias("e")).select("e.*")
-    flat = calendar.flatten_events(events, AS_OF)
+    flat = calendar.flatten_events(calendar_events(spark, sf_dir), AS_OF)
     return joined_arrays(flat.drop("_text", "_addresses", "_extracted_at"))
 
 
@@ -78,7 +82,7 @@ def match_keywords_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def match_attendee_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     addresses = F.transform("attendees", lambda a: F.coalesce(a["email"], F.lit("")))
-    return calendar_payloads(spark, sf_dir).select(
+    return calendar_events(spark, sf_dir).select(
         "id", matching.match_attendee_domain(addresses, KEYWORDS).alias("account"))
 
 
@@ -120,7 +124,7 @@ def extract_link(pages: DataFrame) -> DataFrame:
 
 
 def attendees_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = calendar_payloads(spark, sf_dir).select(
+    encoded = calendar_events(spark, sf_dir).select(
         "id", meetings.encode_attendees(F.col("attendees")).alias("encoded"))
     decoded = encoded.withColumn("_d", meetings.decode_attendees(F.col("encoded")))
     return joined_arrays(decoded.select(
@@ -157,6 +161,8 @@ RECORDS: dict[str, Query] = {
     "src_use_cases_semi": src_use_cases_semi,
     "src_email_snapshot": _on("mail_messages", lambda d: mail_source.emails_snapshot(
         d, LABELS, OWN_ADDRESS, AS_OF)),
+    "src_email_newest": _on("mail_messages", lambda d: mail_source.newest_per_label(
+        d, LABELS, OWN_ADDRESS, AS_OF, per_label=25)),
     "src_calendar_snapshot": src_calendar_snapshot,
     "src_chat_snapshot": src_chat_snapshot,
     "src_tasks_snapshot": _on("task_pages", lambda d: tasks.tasks_snapshot(d, KEYWORDS, AS_OF)),

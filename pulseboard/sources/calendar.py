@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pulseboard.functions.clock import days, now, parse_iso
 from pulseboard.functions.meetings import encode_attendees, video_link
-from pulseboard.functions.text import STORED_DESCRIPTION, clip
 from pulseboard.operators.matching import Dictionary, match_attendee_domain, match_keywords
 
 # Snapshot window around the run, in days.
@@ -27,14 +26,13 @@ def flatten_events(raw: DataFrame, as_of: datetime) -> DataFrame:
     return raw.select(
         F.col("id").alias("event_id"),
         F.coalesce("summary", F.lit("")).alias("event_title"),
-        clip(description, STORED_DESCRIPTION).alias("description"),
+        description.alias("description"),
         F.nullif(F.col("location"), F.lit("")).alias("location"),
         _moment("start").alias("start_time"), _moment("end").alias("end_time"),
         encode_attendees(F.col("attendees")).alias("attendees"),
         video_link(F.col("location"), F.col("description"), F.col("hangoutLink")).alias("video_link"),
         "status", F.col("organizer.email").alias("organizer_email"),
         F.col("htmlLink").alias("html_link"), now(as_of).alias("_extracted_at"),
-        # matching looks at the whole description, not at the stored width
         F.concat_ws(" ", F.coalesce("summary", F.lit("")), F.coalesce("description", F.lit("")),
                     F.coalesce("location", F.lit(""))).alias("_text"),
         F.transform("attendees", lambda a: F.coalesce(a["email"], F.lit(""))).alias("_addresses"))
@@ -42,12 +40,16 @@ def flatten_events(raw: DataFrame, as_of: datetime) -> DataFrame:
 
 def calendar_snapshot(raw: DataFrame, dictionary: Dictionary, as_of: datetime,
                       back_days: int = BACK_DAYS, ahead_days: int = AHEAD_DAYS) -> DataFrame:
-    """Events of the window that match an account; the others are dropped."""
+    """Events of the window that match an account; the others are dropped.
+
+    An event whose start cannot be read is kept: it may be in the window.
+    """
+    start = F.col("start_time")
     account = F.coalesce(match_keywords(F.col("_text"), dictionary),
                          match_attendee_domain(F.col("_addresses"), dictionary))
     return (flatten_events(raw, as_of)
-            .where(F.col("start_time").between(now(as_of) - days(back_days),
-                                               now(as_of) + days(ahead_days)))
+            .where(start.isNull() | start.between(now(as_of) - days(back_days),
+                                                  now(as_of) + days(ahead_days)))
             # one row per match or none: matched once, while a filter on the
             # match would be pushed down and evaluate it a second time
             .withColumn("account_name", F.explode(F.array_compact(F.array(account))))

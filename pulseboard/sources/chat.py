@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pulseboard.functions.clock import days, now, parse_epoch
 from pulseboard.functions.meetings import is_thread_reply, reaction_names
-from pulseboard.functions.text import STORED_DESCRIPTION, clip
 from pulseboard.operators.dedupe import first_per_key
 from pulseboard.operators.matching import Dictionary, match_keywords
 
@@ -30,8 +29,8 @@ def flatten_messages(messages: DataFrame, as_of: datetime) -> DataFrame:
     """Nested messages to typed rows, without channel attributes."""
     return messages.select(
         F.col("ts").alias("message_ts"), F.col("channel").alias("channel_id"),
-        F.coalesce("user", "bot_id").alias("user_id"),
-        clip(F.coalesce("text", F.lit("")), STORED_DESCRIPTION).alias("message_text"),
+        F.coalesce(F.nullif(F.col("user"), F.lit("")), "bot_id").alias("user_id"),
+        F.coalesce("text", F.lit("")).alias("message_text"),
         parse_epoch(F.col("ts")).alias("sent_at"), "thread_ts",
         is_thread_reply(F.col("thread_ts"), F.col("ts")).alias("is_reply"),
         F.coalesce("reply_count", F.lit(0)).alias("reply_count"),

@@ -26,7 +26,7 @@ def flatten_accounts(raw: DataFrame, owner_email: str, as_of: datetime) -> DataF
     A missing relation gives NULL, and so do zero numbers.
     """
     return (engaged_accounts(raw, owner_email)
-            .orderBy(F.col("Revenue").desc_nulls_last())
+            .orderBy(F.col("Revenue").desc_nulls_last(), "Id")
             .select(
                 F.col("Id").alias("account_id"), F.col("Name").alias("account_name"),
                 F.col("Type").alias("type"), F.col("Industry").alias("industry"),
@@ -65,4 +65,4 @@ def flatten_use_cases(raw: DataFrame, accounts: DataFrame, owner_email: str,
                 F.col("AssignedId").alias("assigned_sa_id"),
                 F.col("Assigned.Name").alias("assigned_sa_name"),
                 now(as_of).alias("_extracted_at"))
-            .orderBy(F.col("last_modified_date").desc_nulls_last()))
+            .orderBy(F.col("last_modified_date").desc_nulls_last(), "uco_id"))

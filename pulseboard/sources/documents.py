@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseboard.functions.clock import now
-from pulseboard.functions.text import STORED_TEXT, normalise_newlines
+from pulseboard.functions.text import normalise_newlines
 from pulseboard.operators.matching import Dictionary, match_alias
 from pulseboard.operators.tree import root_children_closure
 
@@ -18,7 +18,7 @@ DOCUMENT = "application/vnd.google-apps.document"
 
 
 def folder_documents(files: DataFrame, root_id: str, aliases: Dictionary, as_of: datetime,
-                     width: int | None = STORED_TEXT) -> DataFrame:
+                     width: int | None = None) -> DataFrame:
     """Documents anywhere below a child folder of the root, empty ones dropped.
 
     Only the folders take part in the recursive walk; documents join its result

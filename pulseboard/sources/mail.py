@@ -10,29 +10,24 @@ from pyspark.sql import functions as F
 
 from pulseboard.functions import mail as m
 from pulseboard.functions.clock import days, now, parse_mail_date
-from pulseboard.functions.text import STORED_SNIPPET, STORED_TEXT, clip, html_to_text
+from pulseboard.functions.text import html_to_text
 from pulseboard.operators.dedupe import first_per_key
 from pulseboard.operators.matching import label_hits
 
-# Chosen messages (labels x newest per label) that may be broadcast.
-MAX_BROADCAST_CHOSEN = 50_000
-# Look-back in days and newest messages kept per label and run.
-SNAPSHOT_DAYS, SNAPSHOT_PER_LABEL = 30, 25
-INCREMENTAL_DAYS, INCREMENTAL_PER_LABEL = 2, 50
+# Look-back in days.
+SNAPSHOT_DAYS, INCREMENTAL_DAYS = 30, 2
 
 
 def select_labelled(raw: DataFrame, accounts: Mapping[str, str], as_of: datetime,
-                    back_days: int, per_label: int | None) -> DataFrame:
-    """Messages of the look-back window that are among a known label's newest.
+                    back_days: int, per_label: int | None = None) -> DataFrame:
+    """Messages of the look-back window with a known label.
 
-    Adds ``received_date`` and ``account_name``. The newest ``per_label`` are
-    taken per label first (None keeps all); a message that is among the newest
-    of several labels then goes to the label listed first.
+    Adds ``received_date`` and ``account_name``; a message with several labels
+    goes to the one listed first. Asked for ``per_label``, only the newest so
+    many of each label are taken, before that.
 
     The choice reads ids, labels and dates only; bodies, the bulk of the data,
-    are neither read nor sorted for it. The chosen ids are at most labels x
-    ``per_label``: within ``MAX_BROADCAST_CHOSEN`` they are broadcast to the
-    scan that fetches the bodies.
+    are neither read nor sorted for it, and fetched by id.
     """
     narrow = raw.select(
         "id", label_hits(F.col("labelIds"), accounts).alias("_hits"),
@@ -46,19 +41,17 @@ def select_labelled(raw: DataFrame, accounts: Mapping[str, str], as_of: datetime
     best = F.min_by(F.struct(F.col("_hit.account").alias("account_name"), "received_date"),
                     F.struct("_hit.ord", F.col("received_date")))
     chosen = hits.groupBy("id").agg(best.alias("_best")).select("id", "_best.*")
-    if per_label is not None and per_label * len(accounts) <= MAX_BROADCAST_CHOSEN:
-        chosen = F.broadcast(chosen)
     # a message delivered more than once in this landing is stored once
     copies = raw.join(chosen, "id")
-    return first_per_key(copies, "id", [F.array_join("labelIds", ",").desc_nulls_last()])
+    content = F.xxhash64("threadId", "snippet", F.to_json("payload"))
+    return first_per_key(copies, "id", [F.array_join("labelIds", ",").desc_nulls_last(), content])
 
 
 def to_emails(selected: DataFrame, own_address: str, as_of: datetime,
-              body_width: int | None = STORED_TEXT) -> DataFrame:
-    """Selected messages to typed bronze rows.
+              body_width: int | None = None) -> DataFrame:
+    """Selected messages to typed bronze rows, with whole texts.
 
-    Bodies are decoded and cleaned as whole texts; ``body_width`` is the width
-    of the stored column (None stores everything).
+    A ``body_width`` cuts the stored body, after it was decoded and cleaned whole.
     """
     headers = F.col("headers")
     sender = F.coalesce(m.header(headers, "from"), F.lit(""))
@@ -70,7 +63,7 @@ def to_emails(selected: DataFrame, own_address: str, as_of: datetime,
         m.recipients(m.header(headers, "to")).alias("to_emails"),
         m.recipients(m.header(headers, "cc")).alias("cc_emails"),
         F.coalesce(subject, F.lit(m.NO_SUBJECT)).alias("subject"),
-        clip(F.coalesce(F.col("snippet"), F.lit("")), STORED_SNIPPET).alias("body_snippet"),
+        F.coalesce(F.col("snippet"), F.lit("")).alias("body_snippet"),
         html_to_text(m.first_plain_text(F.col("payload")), body_width).alias("body_text"),
         "received_date", F.col("labelIds").alias("labels"),
         F.coalesce(F.array_contains("labelIds", "UNREAD"), F.lit(False)).alias("is_unread"),
@@ -81,14 +74,22 @@ def to_emails(selected: DataFrame, own_address: str, as_of: datetime,
 
 def emails_snapshot(raw: DataFrame, accounts: Mapping[str, str], own_address: str,
                     as_of: datetime, back_days: int = SNAPSHOT_DAYS,
-                    per_label: int | None = SNAPSHOT_PER_LABEL) -> DataFrame:
-    """Full snapshot: the newest messages of every label."""
+                    body_width: int | None = None) -> DataFrame:
+    """Full snapshot: the labelled messages of the window."""
+    return to_emails(select_labelled(raw, accounts, as_of, back_days), own_address, as_of,
+                     body_width)
+
+
+def newest_per_label(raw: DataFrame, accounts: Mapping[str, str], own_address: str,
+                     as_of: datetime, per_label: int,
+                     back_days: int = SNAPSHOT_DAYS) -> DataFrame:
+    """The newest ``per_label`` messages of every label."""
     return to_emails(select_labelled(raw, accounts, as_of, back_days, per_label),
                      own_address, as_of)
 
 
 def emails_incremental(raw: DataFrame, accounts: Mapping[str, str], own_address: str,
                        as_of: datetime, back_days: int = INCREMENTAL_DAYS,
-                       per_label: int | None = INCREMENTAL_PER_LABEL) -> DataFrame:
+                       body_width: int | None = None) -> DataFrame:
     """One incremental run: two days back, of which one is a safety overlap."""
-    return emails_snapshot(raw, accounts, own_address, as_of, back_days, per_label)
+    return emails_snapshot(raw, accounts, own_address, as_of, back_days, body_width)

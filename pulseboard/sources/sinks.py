@@ -15,9 +15,12 @@ from pulseboard.schemas import RUN_LOG
 from pulseboard.sources.landing import BAD_RECORD
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
+Observe = Callable[[DataFrame], DataFrame]
+
+
+def write_snapshot(df: DataFrame, path: str, observe: Observe = lambda d: d) -> None:
     """Materialise a full snapshot, replacing the previous one."""
-    df.write.mode("overwrite").parquet(path)
+    observe(df).write.mode("overwrite").parquet(path)
 
 
 def replace_staging(df: DataFrame, path: str, schema) -> None:
@@ -25,29 +28,35 @@ def replace_staging(df: DataFrame, path: str, schema) -> None:
     write_snapshot(require_schema(df, schema), path)
 
 
-def write_clustered(df: DataFrame, path: str, *columns: str) -> None:
+def write_clustered(df: DataFrame, path: str, *columns: str,
+                    observe: Observe = lambda d: d) -> None:
     """Snapshot laid out by range, so that readers skip files and row groups.
 
     Ranges are over all given columns together: an account with very many rows
-    is cut by the following column instead of filling one file.
+    is cut by the following column instead of filling one file. The layout runs
+    its input once more to find the ranges, so rows are observed above it.
     """
-    (df.repartitionByRange(*columns)
-     .sortWithinPartitions(*columns)
-     .write.mode("overwrite").parquet(path))
+    laid_out = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    observe(laid_out).write.mode("overwrite").parquet(path)
 
 
-def logged_write(df: DataFrame, source: str, write: Callable[[DataFrame], None],
+def logged_write(df: DataFrame, source: str, write: Callable[[DataFrame, Observe], None],
                  log_path: str) -> None:
-    """Run ``write(df)`` and append one line about it to the run log.
+    """Run ``write(df, observe)`` and append one line about it to the run log.
 
-    Rows are counted while they are written, not by a second pass. Of a frame
+    The writer applies ``observe`` last, so rows are counted once, as they are
+    written, not by a second pass. Of a frame
     read with ``read_landed_json``, unreadable lines are not written but their
     number is noted. A failed write is logged as FAILED and raised again.
     """
     spark = df.sparkSession
     observation = Observation()
     bad = F.col(BAD_RECORD).isNotNull() if BAD_RECORD in df.columns else F.lit(False)
-    observed = df.observe(observation, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("bad"))
+
+    def observe(rows: DataFrame) -> DataFrame:
+        return (rows.observe(observation, F.count_if(~bad).alias("rows"),
+                             F.count_if(bad).alias("bad")).where(~bad).drop(BAD_RECORD))
+
     started, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.monotonic()
 
     def log(status: str, rows: int, detail: str | None) -> None:
@@ -56,7 +65,7 @@ def logged_write(df: DataFrame, source: str, write: Callable[[DataFrame], None],
          .write.mode("append").parquet(log_path))
 
     try:
-        write(observed.where(~bad).drop(BAD_RECORD))
+        write(df, observe)
     except Exception as error:
         log("FAILED", 0, str(error))
         raise

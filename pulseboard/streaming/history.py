@@ -45,16 +45,17 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def append_batches(stream: DataFrame, transform: Callable[[DataFrame], DataFrame],
-                   path: str, checkpoint: str, run: str) -> None:
+                   path: str, checkpoint: str) -> None:
     """Like :func:`append_stream` for transformations a stream cannot express.
 
     Ranking per label, for instance, needs the whole batch. Each batch owns one
     folder of the history and overwrites it, so a batch that is repeated after
-    a failure does not add its rows twice.
+    a failure does not add its rows twice, whichever run repeats it: batch
+    numbers grow over all runs of one checkpoint.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         (transform(batch).write.mode("overwrite")
-         .parquet(f"{path}/run={run}/batch={batch_id}"))
+         .parquet(f"{path}/batch={batch_id}"))
 
     (stream.writeStream.foreachBatch(write)
      .option("checkpointLocation", checkpoint)
@@ -66,9 +67,10 @@ def read_history(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def latest_history(history: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def latest_history(history: DataFrame, keys: str | Sequence[str],
+                   tie_by: Sequence[str] = ()) -> DataFrame:
     """Exact latest-wins view of a history; nothing is forgotten."""
-    return latest_per_key(history, keys)
+    return latest_per_key(history, keys, tie_by=tie_by)
 
 
 def distinct_stream(stream: DataFrame, keys: Sequence[str], event_time: str,

@@ -68,13 +68,16 @@ def test_attendee_domains_in_order(spark):
         "B", None, None, None]
 
 
-def test_large_dictionary_must_be_a_table(spark):
-    with pytest.raises(ValueError):
-        matching.match_keywords(F.col("x"), [("A", [str(i) for i in range(500)])])
+def test_large_dictionaries(spark):
+    words = [(f"A{i}", [f"key{i}x"]) for i in range(300)]
+    assert column(spark, ["a KEY299X b", "key7x"], lambda c: matching.match_keywords(c, words)) == [
+        "A299", "A7"]
+    labels = {f"L{i}": f"A{i}" for i in range(250)}
+    assert column(spark, [["L240", "L3"]], lambda c: matching.match_labels(c, labels),
+                  "array<string>") == ["A3"]
 
 
-@pytest.mark.parametrize("broadcast_bytes", [1_000_000, 0])
-def test_gram_join_equals_brute_force(spark, broadcast_bytes):
+def test_gram_join_equals_brute_force(spark):
     rng = random.Random(7)
     texts = [(i, "".join(rng.choice("abcD é") for _ in range(rng.randint(0, 30)))) for i in range(300)]
     texts += [(1000, None), (1001, "")]
@@ -82,8 +85,7 @@ def test_gram_join_equals_brute_force(spark, broadcast_bytes):
              for i in range(60)] + [(99, "blank", "")]
     got = matching.match_keywords_join(
         spark.createDataFrame(texts, "id int, t string"), "id", "t",
-        spark.createDataFrame(words, "ord int, account string, keyword string"),
-        broadcast_bytes=broadcast_bytes)
+        spark.createDataFrame(words, "ord int, account string, keyword string"))
 
     def brute(text):
         return next((a for _, a, w in words if w and text and w.lower() in text.lower()), None)

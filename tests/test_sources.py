@@ -65,11 +65,11 @@ def test_label_cap_comes_before_first_label(spark, path):
         message(1, ["Label_0", "Label_1"], 28), message(2, ["Label_0"], 30),
         message(3, ["Label_1"], 29), message(4, ["other"], 30), message(5, ["Label_0"], 1),
         message(6, ["Label_0"], 29)])
-    got = mail.emails_snapshot(raw, LABELS, OWN_ADDRESS, AS_OF, back_days=10, per_label=2)
+    got = mail.newest_per_label(raw, LABELS, OWN_ADDRESS, AS_OF, 2, back_days=10)
     # m1 is third in the first label but second in the other one
     assert {r["message_id"]: r["account_name"] for r in got.collect()} == {
         "m2": "Account A", "m6": "Account A", "m3": "Account B", "m1": "Account B"}
-    full = mail.emails_snapshot(raw, LABELS, OWN_ADDRESS, AS_OF, per_label=None)
+    full = mail.emails_snapshot(raw, LABELS, OWN_ADDRESS, AS_OF)
     assert full.schema.names == EMAILS.names
     assert {r["message_id"]: r["account_name"] for r in full.collect()} == {
         "m1": "Account A", "m2": "Account A", "m3": "Account B", "m6": "Account A"}
@@ -79,7 +79,7 @@ def test_copies_take_one_place_under_the_cap(spark, path):
     raw = landed(spark, path, MAIL_MESSAGE, [
         message(1, ["Label_0"], 30), message(1, ["Label_0"], 30), message(2, ["Label_0"], 29),
         message(3, ["Label_0"], 28)])
-    got = mail.emails_snapshot(raw, LABELS, OWN_ADDRESS, AS_OF, per_label=2)
+    got = mail.newest_per_label(raw, LABELS, OWN_ADDRESS, AS_OF, 2)
     assert sorted(r["message_id"] for r in got.collect()) == ["m1", "m2"]
 
 
@@ -91,16 +91,22 @@ def test_mail_defaults(spark, path):
     assert row["is_unread"] and row["needs_response"] and not row["has_attachment"]
 
 
-def test_whole_bodies_can_be_stored(spark, path):
+def test_no_mail_is_left_behind(spark, path):
+    raw = landed(spark, path, MAIL_MESSAGE, [message(i, ["Label_0"], 30) for i in range(200)])
+    assert mail.emails_snapshot(raw, LABELS, OWN_ADDRESS, AS_OF).count() == 200
+    assert mail.emails_incremental(raw, LABELS, OWN_ADDRESS, AS_OF).count() == 200
+
+
+def test_whole_bodies_are_stored(spark, path):
     import base64
     long_text = "word " * 3000
     data = base64.urlsafe_b64encode(long_text.encode()).decode()
     raw = landed(spark, path, MAIL_MESSAGE, [message(1, ["Label_0"], 30, payload={
         "mimeType": "text/plain", "body": {"data": data}})])
     selected = mail.select_labelled(raw, LABELS, AS_OF, 30, None)
-    whole = mail.to_emails(selected, OWN_ADDRESS, AS_OF, body_width=None).first()["body_text"]
-    stored = mail.to_emails(selected, OWN_ADDRESS, AS_OF).first()["body_text"]
-    assert whole == long_text.strip() and stored == whole[:txt.STORED_TEXT]
+    whole = mail.to_emails(selected, OWN_ADDRESS, AS_OF).first()["body_text"]
+    stored = mail.to_emails(selected, OWN_ADDRESS, AS_OF, body_width=50).first()["body_text"]
+    assert whole == long_text.strip() and stored == whole[:50]
 
 
 def test_calendar_matching_and_window(spark, path):
@@ -114,8 +120,8 @@ def test_calendar_matching_and_window(spark, path):
         event("far", "2024-02-02", description="x" * 3000 + " widget")])
     got = {r["event_id"]: r for r in calendar.calendar_snapshot(raw, KEYWORDS, AS_OF).collect()}
     assert {k: r["account_name"] for k, r in got.items()} == {
-        "text": "Account A", "guest": "Account C", "far": "Account B"}
-    assert len(got["far"]["description"]) == txt.STORED_DESCRIPTION
+        "text": "Account A", "guest": "Account C", "far": "Account B", "undated": "Account A"}
+    assert len(got["far"]["description"]) == 3007 and got["undated"]["start_time"] is None
     assert got["text"]["attendees"] == [] and got["text"]["description"] is None
 
 
@@ -160,18 +166,24 @@ def test_folder_documents(spark, path):
 # ---- sinks --------------------------------------------------------------------
 def test_run_log_records_success_and_failure(spark, path):
     df = spark.range(5)
-    sinks.logged_write(df, "good", lambda d: sinks.write_snapshot(d, path + "/t"), path + "/log")
+    sinks.logged_write(df, "good", lambda d, o: sinks.write_snapshot(d, path + "/t", o), path + "/log")
     bad = df.select(F.raise_error(F.lit("boom")).alias("x"))
     with pytest.raises(Exception):
-        sinks.logged_write(bad, "bad", lambda d: sinks.write_snapshot(d, path + "/u"), path + "/log")
+        sinks.logged_write(bad, "bad", lambda d, o: sinks.write_snapshot(d, path + "/u", o), path + "/log")
     log = {r["source"]: r for r in sinks.read_run_log(spark, path + "/log").collect()}
     assert log["good"]["status"] == "SUCCESS" and log["good"]["rows_ingested"] == 5
     assert log["bad"]["status"] == "FAILED" and "boom" in log["bad"]["error_detail"]
 
 
+def test_run_log_counts_a_clustered_write_once(spark, path):
+    sinks.logged_write(spark.range(1000), "ranged", lambda d, o: sinks.write_clustered(
+        d, path + "/t", "id", observe=o), path + "/log")
+    assert sinks.read_run_log(spark, path + "/log").first()["rows_ingested"] == 1000
+
+
 def test_run_log_notes_unreadable_lines(spark, path):
     df = landed(spark, path + "/in", CALENDAR_EVENT, [{"id": "1"}, "{broken", {"id": "2"}])
-    sinks.logged_write(df, "meetings", lambda d: sinks.write_snapshot(d, path + "/t"), path + "/log")
+    sinks.logged_write(df, "meetings", lambda d, o: sinks.write_snapshot(d, path + "/t", o), path + "/log")
     line = sinks.read_run_log(spark, path + "/log").first()
     assert (line["status"], line["rows_ingested"], line["error_detail"]) == (
         "SUCCESS", 2, "1 unreadable records")
@@ -255,11 +267,11 @@ def test_repeated_batch_does_not_add_rows(spark, path):
 
     def run(checkpoint):
         history.append_batches(history.read_landing(spark, path + "/in", CHAT_MESSAGE),
-                               lambda batch: batch, path + "/out", checkpoint, "day1")
+                               lambda batch: batch, path + "/out", checkpoint)
         return history.read_history(spark, path + "/out", CHAT_MESSAGE).count()
     once = run(path + "/cp1")
     assert once == payloads.chat_messages(spark, SF_DIR).count()
-    # a lost checkpoint replays the same batch of the same run
+    # a lost checkpoint replays the same batch, whichever run it is
     assert run(path + "/cp2") == once
 
 
