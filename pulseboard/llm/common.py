@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,24 +20,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batch: pa.RecordBatch, rows: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in order, halved until a part has at most ``rows`` rows and ``most_bytes``
+    bytes; a single row may be larger. Slicing copies nothing."""
+    n = batch.num_rows
+    if n <= rows and (n <= 1 or batch.nbytes <= most_bytes):
+        if n:
+            yield batch
+    else:
+        yield from slices(batch.slice(0, n // 2), rows, most_bytes)
+        yield from slices(batch.slice(n // 2), rows, most_bytes)
+
+
 def map_batches(df: DataFrame, step: Callable[[], Callable], fields: dict[str, str],
-                rows: int = 512, most_bytes: int = 32 << 20) -> DataFrame:
+                rows: int = 512, most_bytes: int = 8 << 20) -> DataFrame:
     """Run a vectorised step over a frame, a few hundred rows at a time.
 
     ``step()`` is called once per task and gives a function from a record batch to a
     dict of columns. Spark's batches may hold thousands of long texts; slicing them by
-    rows and bytes costs no copy and bounds what becomes Python objects at once.
+    rows and bytes bounds what becomes Python objects at once. What Arrow freed goes back
+    to the system after each batch, as workers are reused by later stages.
     """
     schema = pa.schema([(name, ARROW[kind]) for name, kind in fields.items()])
 
     def run(batches):
         work = step()
         for batch in batches:
-            few = max(1, min(rows, batch.num_rows * most_bytes // max(1, batch.nbytes)))
-            for at in range(0, batch.num_rows, few):
-                out = work(batch.slice(at, few))
+            for part in slices(batch, rows, most_bytes):
+                out = work(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], f.type) for f in schema], schema=schema)
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in fields.items()))
 

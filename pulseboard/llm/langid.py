@@ -23,6 +23,7 @@ PER_LANGUAGE = 250  # labelled documents the classifier is fitted on, for each l
 TRAIN_ROWS = 4000  # and in all; each takes DIMS / 8 bytes on the driver
 LANDMARKS = 160
 RIDGE = 1e-4
+BATCH_BYTES = 2 << 20  # of text compared at once; a character takes some 50 bytes
 UNKNOWN = "und"
 SURE = 0.25  # below it a text is like no learned language and may be rejected
 
@@ -41,12 +42,13 @@ def presence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(texts x DIMS) 0/1 matrix of the grams present, and whether a text has a letter."""
     codes = np.frombuffer(" ".join(["", *(t or "" for t in texts), ""]).encode("utf-32-le"),
                           np.uint32)
-    ends = np.cumsum([len(t or "") + 1 for t in texts]) if texts else np.zeros(0, np.int64)
+    sizes = np.array([len(t or "") + 1 for t in texts] or [0])
+    sizes[0] += 1  # the space before the first
     small = letters()[np.minimum(codes, 0xFFFF)]
     far = np.flatnonzero(codes > 0xFFFF)
     small[far] = [ord(c.lower()[0]) if (c := chr(x)).isalpha() else 32
                   for x in codes[far].tolist()]
-    doc = np.searchsorted(ends, np.arange(len(codes)), side="left")
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     keep = np.append(True, (small[1:] != 32) | (small[:-1] != 32))
     small, doc = small[keep], doc[keep]
     out = np.zeros((len(texts) + 1, DIMS), np.float32)
@@ -109,7 +111,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = TRAIN_ROW
 
     texts = docs.drop("lang").join(chosen, "doc_id")
     found = (map_batches(texts, step, {"doc_id": "bigint", "lang": "string", "bits": "binary"},
-                         128)
+                         128, BATCH_BYTES)
              .where("bits IS NOT NULL").dropDuplicates(["doc_id"])
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect())
     languages = tuple(sorted({r["lang"] for r in found}))
@@ -157,7 +159,7 @@ def predict(docs: DataFrame, model: Model, columns: dict[str, str] | None = None
 
     read = [F.col(c).cast(kind).alias(c) for c, kind in {**columns, "text": "string"}.items()]
     return map_batches(docs.select(*read), step,
-                       {**columns, "lang_pred": "string", "score": "double"}, 256)
+                       {**columns, "lang_pred": "string", "score": "double"}, 256, BATCH_BYTES)
 
 
 def keep(docs: DataFrame, model: Model, least: float = SURE) -> DataFrame:

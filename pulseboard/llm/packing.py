@@ -31,6 +31,7 @@ END = 2
 TIERS = (512, 1024, 2048, 4096)
 BUCKET_BYTES = 4 << 20
 STEP_TOKENS = 1 << 19
+BATCH_BYTES = 2 << 20  # of text encoded at once
 CHUNKS_KEPT = 200_000
 SPACES = np.frombuffer(b" \t\n\v\f\r", np.uint8)
 MARKS = np.frombuffer(b".,;:!?", np.uint8)
@@ -146,7 +147,8 @@ def token_pieces(docs: DataFrame, path: str, dtype: str, context: int) -> DataFr
             return out
         return work
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), step, PIECE, 8192, 8 << 20)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), step, PIECE, 8192,
+                       BATCH_BYTES)
 
 
 def plan_windows(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[tuple]]:

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from pulseboard.llm import (components, langid, licenses, mixing, packing, pii, quality, quotes,
                             repeats, simhash, spotsigs)
+from pulseboard.llm.common import slices
 from pulseboard.llm.queries import QUERIES, STATEMENTS
 from tests.compare import differences, duck
 from tests.conftest import SF_DIR
@@ -75,6 +76,18 @@ def test_ten_queries():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
 
 
+def test_slices():
+    import pyarrow as pa
+
+    texts = ["x" * n for n in (0, 5000, 1, 1, 1, 9000, 2, 40, 0)] + [None]
+    batch = pa.record_batch({"n": list(range(len(texts))), "text": texts})
+    for rows, size in ((3, 1 << 20), (100, 4000), (1, 1)):
+        parts = list(slices(batch, rows, size))
+        assert [n for p in parts for n in p.column("n").to_pylist()] == list(range(len(texts)))
+        assert all(p.num_rows <= rows and (p.nbytes <= size or p.num_rows == 1) for p in parts)
+    assert list(slices(batch.slice(0, 0), 4, 100)) == []
+
+
 # 1 -----------------------------------------------------------------------------------
 
 def ledger_row(text):
