@@ -107,20 +107,23 @@ REPORTS: dict[str, Query] = {
     "rpt_go_live_soon": _over(lambda i: reports.go_live_soon(i.use_cases, AS_OF)),
     "rpt_health_scorecard": _over(lambda i: reports.health_scorecard(i.health)),
     "rpt_emails_to_answer": _over(lambda i: reports.emails_to_answer(i.emails)),
-    "rpt_urgent_emails": _over(lambda i: reports.urgent_emails(i.emails_core)),
-    "rpt_email_volume": _over(lambda i: reports.email_volume(i.emails, AS_OF)),
-    "rpt_thread_summary": _over(lambda i: reports.thread_summary(i.emails_core)),
+    "rpt_urgent_emails": _over(lambda i: reports.urgent_emails(i.emails)),
+    "rpt_email_volume": _over(lambda i: reports.email_volume(
+        i.emails_core, AS_OF, accounts=i.accounts)),
+    "rpt_thread_summary": _over(lambda i: reports.thread_summary(i.emails_core, i.accounts)),
     "rpt_week_meetings": _over(lambda i: reports.week_meetings(i.calendar)),
     "rpt_upcoming_meetings": _over(lambda i: reports.upcoming_meetings(i.calendar)),
-    "rpt_meeting_frequency": _over(lambda i: reports.meeting_frequency(i.calendar, AS_OF)),
+    "rpt_meeting_frequency": _over(lambda i: reports.meeting_frequency(
+        i.calendar_core, AS_OF, accounts=i.accounts)),
     "rpt_meeting_prep": _over(lambda i: reports.meeting_prep(
         i.calendar_core, i.accounts, i.use_cases, i.emails_core)),
     "rpt_chat_engaged": _over(lambda i: reports.engaged_chat(i.chat)),
-    "rpt_chat_activity": _over(lambda i: reports.chat_activity(i.chat)),
-    "rpt_channels_summary": _over(lambda i: reports.channels_summary(i.chat_core)),
-    "rpt_top_threads": _over(lambda i: reports.top_threads(i.chat_core)),
+    "rpt_chat_activity": _over(lambda i: reports.chat_activity(
+        i.chat_core, accounts=i.accounts)),
+    "rpt_channels_summary": _over(lambda i: reports.channels_summary(i.chat_core, i.accounts)),
+    "rpt_top_threads": _over(lambda i: reports.top_threads(i.chat)),
     "rpt_today_actions": _over(lambda i: reports.today_actions(i.activity, AS_OF)),
-    "rpt_week_timeline": _over(lambda i: reports.week_timeline(i.activity_core, AS_OF)),
+    "rpt_week_timeline": _over(lambda i: reports.week_timeline(i.activity, AS_OF)),
     "rpt_health_exec": _over(lambda i: reports.health_exec(i.health)),
     "rpt_attention": _over(lambda i: reports.attention(i.health)),
     "rpt_cross_source": _over(lambda i: reports.cross_source(i.health, i.activity_core, AS_OF)),

@@ -35,6 +35,22 @@ def _due() -> Column:
     return F.coalesce("go_live_date", "estimated_project_go_live")
 
 
+def _per_account(counts: DataFrame, accounts: DataFrame, counted: tuple[str, ...],
+                 tier: bool = True) -> DataFrame:
+    """Counts by account name, carried over to the accounts of that name.
+
+    A fact belongs to every account of its name, so each counted column is multiplied
+    by how many there are (of one tier, which becomes a column). The facts themselves
+    never meet the accounts; a name without account keeps its counts.
+    """
+    keys = ["account_name", "arr_tier"] if tier else ["account_name"]
+    names = accounts.groupBy(*keys).agg(F.count("*").alias("_accounts"))
+    times = F.coalesce("_accounts", F.lit(1))
+    rest = [c for c in counts.columns if c != "account_name"]
+    return counts.join(names, "account_name", "left").select(
+        *keys, *[(F.col(c) * times).alias(c) if c in counted else c for c in rest])
+
+
 # ---- accounts and use cases -------------------------------------------------
 def account_overview(accounts: DataFrame) -> DataFrame:
     return (accounts.orderBy(F.col("arr").desc_nulls_last(), "account_id")
@@ -91,27 +107,37 @@ def urgent_emails(emails: DataFrame) -> DataFrame:
                     "body_snippet"))
 
 
-def email_volume(emails: DataFrame, as_of: datetime, within_days: int | None = None) -> DataFrame:
-    """All history unless ``within_days`` is given."""
+def email_volume(emails: DataFrame, as_of: datetime, within_days: int | None = None,
+                 accounts: DataFrame | None = None) -> DataFrame:
+    """All history unless ``within_days`` is given. With ``accounts`` the mails are core
+    facts and are counted before the tier is joined; without, they carry it."""
     if within_days is not None:
         emails = emails.where(F.col("received_date") >= now(as_of) - days(within_days))
-    return (emails.groupBy("account_name", "arr_tier")
-            .agg(F.count("*").alias("total_emails"),
-                 F.count_if("needs_response").alias("needs_response"),
-                 F.count_if(F.col("action_status") == "URGENT").alias("urgent"),
-                 F.count_if("is_unread").alias("unread"),
-                 F.max(_day("received_date")).alias("last_email_date"))
-            .orderBy(F.desc("needs_response"), F.desc("total_emails"), "account_name"))
-
-
-def thread_summary(emails: DataFrame) -> DataFrame:
-    return (emails.groupBy("account_name", "thread_id", "subject")
-            .agg(F.count("*").alias("emails_in_thread"),
-                 F.min(_day("received_date")).alias("thread_start"),
-                 F.max(_day("received_date")).alias("last_reply"),
-                 F.bool_or("needs_response").alias("has_pending_response"),
-                 F.array_sort(F.collect_set("from_email")).alias("participants"))
-            .where(F.col("emails_in_thread") > 1)
+    keys = ["account_name"] if accounts is not None else ["account_name", "arr_tier"]
+    counts = emails.groupBy(*keys).agg(
+        F.count("*").alias("total_emails"),
+        F.count_if("needs_response").alias("needs_response"),
+        F.count_if(F.col("action_status") == "URGENT").alias("urgent"),
+        F.count_if("is_unread").alias("unread"),
+        F.max(_day("received_date")).alias("last_email_date"))
+    if accounts is not None:
+        counts = _per_account(counts, accounts, (
+            "total_emails", "needs_response", "urgent", "unread"))
+    return counts.orderBy(F.desc("needs_response"), F.desc("total_emails"), "account_name",
+                          "arr_tier")
+
+
+def thread_summary(emails: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
+    """With ``accounts`` a mail counts once for each account of its name."""
+    threads = (emails.groupBy("account_name", "thread_id", "subject")
+               .agg(F.count("*").alias("emails_in_thread"),
+                    F.min(_day("received_date")).alias("thread_start"),
+                    F.max(_day("received_date")).alias("last_reply"),
+                    F.bool_or("needs_response").alias("has_pending_response"),
+                    F.array_sort(F.collect_set("from_email")).alias("participants")))
+    if accounts is not None:
+        threads = _per_account(threads, accounts, ("emails_in_thread",), tier=False)
+    return (threads.where(F.col("emails_in_thread") > 1)
             .orderBy(F.desc("last_reply"), "account_name", "thread_id")
             .drop("thread_id"))
 
@@ -136,16 +162,21 @@ def upcoming_meetings(meetings: DataFrame) -> DataFrame:
                     "attendee_count", "video_link", "timing_label"))
 
 
-def meeting_frequency(meetings: DataFrame, as_of: datetime, within_days: int = 30) -> DataFrame:
+def meeting_frequency(meetings: DataFrame, as_of: datetime, within_days: int = 30,
+                      accounts: DataFrame | None = None) -> DataFrame:
+    """With ``accounts`` the meetings are core facts, counted before the tier is joined."""
     recent = meetings.where((F.col("timing_label") == "PAST")
                             & (F.col("start_time") >= now(as_of) - days(within_days)))
-    return (recent.groupBy("account_name", "arr_tier")
-            .agg(F.count("*").alias("total_meetings"),
-                 F.round(F.avg("duration_minutes"), 0).alias("avg_duration_min"),
-                 F.sum("attendee_count").alias("total_attendees"),
-                 F.min(_day("start_time")).alias("first_meeting"),
-                 F.max(_day("start_time")).alias("last_meeting"))
-            .orderBy(F.desc("total_meetings"), "account_name"))
+    keys = ["account_name"] if accounts is not None else ["account_name", "arr_tier"]
+    counts = recent.groupBy(*keys).agg(
+        F.count("*").alias("total_meetings"),
+        F.round(F.avg("duration_minutes"), 0).alias("avg_duration_min"),
+        F.sum("attendee_count").alias("total_attendees"),
+        F.min(_day("start_time")).alias("first_meeting"),
+        F.max(_day("start_time")).alias("last_meeting"))
+    if accounts is not None:
+        counts = _per_account(counts, accounts, ("total_meetings", "total_attendees"))
+    return counts.orderBy(F.desc("total_meetings"), "account_name", "arr_tier")
 
 
 def meeting_prep(meetings: DataFrame, accounts: DataFrame, use_cases: DataFrame,
@@ -167,8 +198,8 @@ def meeting_prep(meetings: DataFrame, accounts: DataFrame, use_cases: DataFrame,
              .select("account_name", "event_title", _day("start_time").alias("meeting_date"),
                      "duration_minutes", "attendees")
              .distinct())
-    return (lines.join(context, "account_name")
-            .join(waiting, "account_name", "left")
+    # One join of the lines, so that a hot account's lines can be split.
+    return (lines.join(context.join(waiting, "account_name", "left"), "account_name")
             .select("account_name", "event_title", "meeting_date", "duration_minutes",
                     "attendees", "arr_tier", "arr", "active_ucos", "stale_ucos",
                     F.coalesce("pending_emails", F.lit(0)).alias("pending_emails"))
@@ -186,33 +217,42 @@ def engaged_chat(chat: DataFrame) -> DataFrame:
                     "reaction_count", "engagement_level"))
 
 
-def chat_activity(chat: DataFrame, within_days: int | None = None) -> DataFrame:
-    """All history unless ``within_days`` is given."""
+def chat_activity(chat: DataFrame, within_days: int | None = None,
+                  accounts: DataFrame | None = None) -> DataFrame:
+    """All history unless ``within_days`` is given. With ``accounts`` the messages are core
+    facts and are counted before the tier is joined; without, they carry it."""
     if within_days is not None:
         chat = chat.where(F.col("days_since_sent") <= within_days)
-    return (chat.groupBy("account_name", "arr_tier", "channel_name")
-            .agg(F.count("*").alias("total_messages"),
-                 F.count_if(~F.col("is_reply")).alias("top_level_messages"),
-                 F.sum("reply_count").alias("total_replies"),
-                 F.count_if(F.col("engagement_level") == "HIGH").alias("high_engagement"),
-                 F.max(_day("sent_at")).alias("last_message_date"))
-            .orderBy(F.desc("total_messages"), "account_name", "channel_name"))
-
-
-def channels_summary(chat: DataFrame) -> DataFrame:
+    keys = ["account_name"] if accounts is not None else ["account_name", "arr_tier"]
+    counts = chat.groupBy(*keys, "channel_name").agg(
+        F.count("*").alias("total_messages"),
+        F.count_if(~F.col("is_reply")).alias("top_level_messages"),
+        F.sum("reply_count").alias("total_replies"),
+        F.count_if(F.col("engagement_level") == "HIGH").alias("high_engagement"),
+        F.max(_day("sent_at")).alias("last_message_date"))
+    if accounts is not None:
+        counts = _per_account(counts, accounts, (
+            "total_messages", "top_level_messages", "total_replies", "high_engagement"))
+    return counts.orderBy(F.desc("total_messages"), "account_name", "channel_name", "arr_tier")
+
+
+def channels_summary(chat: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Channels, volume and active days per account.
 
     Counted per account, channel and day first: what reaches the per-account
-    stage is bounded by channels x days, not by messages.
+    stage is bounded by channels x days, not by messages. With ``accounts`` a
+    message counts once for each account of its name.
     """
     daily = (chat.groupBy("account_name", "channel_name", _day("sent_at").alias("_day"))
              .agg(F.count("*").alias("_n")))
-    return (daily.groupBy("account_name")
-            .agg(F.array_sort(F.collect_set("channel_name")).alias("channels"),
-                 F.sum("_n").alias("total_messages"),
-                 F.size(F.collect_set("_day")).cast("long").alias("active_days"),
-                 F.max("_day").alias("most_recent"))
-            .orderBy(F.desc("most_recent"), "account_name"))
+    summary = daily.groupBy("account_name").agg(
+        F.array_sort(F.collect_set("channel_name")).alias("channels"),
+        F.sum("_n").alias("total_messages"),
+        F.size(F.collect_set("_day")).cast("long").alias("active_days"),
+        F.max("_day").alias("most_recent"))
+    if accounts is not None:
+        summary = _per_account(summary, accounts, ("total_messages",), tier=False)
+    return summary.orderBy(F.desc("most_recent"), "account_name")
 
 
 def top_threads(chat: DataFrame, limit: int = TOP_THREADS) -> DataFrame:

@@ -111,6 +111,27 @@ def test_meeting_prep_adds_up_twin_accounts(small):
     assert [r["account_name"] for r in got] == ["Twin", "Busy"]
 
 
+def test_counting_first_equals_joining_first(small):
+    accounts = small["accounts"].unionByName(small["accounts"].where("account_id = '4'")
+                                             .withColumn("arr_tier", F.lit("other")))
+    mails, meetings, chat = (silver.with_tier(small[f"{k}_core"], accounts)
+                             for k in ("emails", "calendar", "chat"))
+    pairs = [
+        (reports.email_volume(mails, AS_OF),
+         reports.email_volume(small["emails_core"], AS_OF, accounts=accounts)),
+        (reports.thread_summary(mails), reports.thread_summary(small["emails_core"], accounts)),
+        (reports.meeting_frequency(meetings, AS_OF),
+         reports.meeting_frequency(small["calendar_core"], AS_OF, accounts=accounts)),
+        (reports.chat_activity(chat),
+         reports.chat_activity(small["chat_core"], accounts=accounts)),
+        (reports.channels_summary(chat),
+         reports.channels_summary(small["chat_core"], accounts))]
+    for joined, counted in pairs:
+        assert rows(joined) == rows(counted) and counted.columns == joined.columns
+    twin = {r["account_name"]: r for r in pairs[0][1].collect()}["Twin"]
+    assert twin["total_emails"] == 4
+
+
 def test_timeline_is_the_sum_of_its_parts(small):
     timeline = gold.activity(small["emails"], small["calendar"], small["chat"], AS_OF)
     assert timeline.columns == list(gold.TIMELINE)
