@@ -10,6 +10,8 @@ likely as the patterns that meet it make it. What ends up confident is personal
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +21,10 @@ from pulseboard.llm.common import map_batches, stored, table
 
 KINDS = ("email", "ip", "card", "phone", "id")
 CANDIDATE = KINDS.index("id")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+# A match never starts inside a run of digits, and saying so keeps the search linear.
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT, NO_DIGIT = re.compile("[0-9]"), re.compile("[^0-9]")
@@ -46,11 +50,28 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping addresses: every @ with the local part before it and a
+    domain after it. A long run of letters is walked once, not once from each letter."""
+    out, free = [], 0
+    at = text.find("@")
+    while at >= 0:
+        start = at
+        while start > free and text[start - 1] in LOCAL:
+            start -= 1
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            out.append((start, domain.end()))
+        free = domain.end() if domain else at + 1
+        at = text.find("@", free)
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the fixed formats, by start, then kind."""
     out = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        out += [(a, 0, b) for a, b in emails(text)]
     if DIGIT.search(text):
         out += [(m.start(), 1, m.end()) for m in IP.finditer(text)
                 if all(len(p) <= 3 and int(p or 0) <= 255 for p in (
@@ -87,6 +108,8 @@ def mentions(text: str) -> list[tuple]:
     """Seeds and candidates of a text: (start, end, kind, instance, three patterns)."""
     spans = base_spans(text)
     found = [(a, b, k) for a, k, b in spans]
+    # what a candidate may overlap are the seeds; candidates are separate tokens
+    starts, reach = [a for a, _, _ in spans], list(accumulate((b for _, _, b in spans), max))
     upto = 0
     for m in DIGIT.finditer(text):
         if m.start() < upto:
@@ -102,8 +125,9 @@ def mentions(text: str) -> list[tuple]:
         while b > a and text[b - 1] in WRAP:
             b -= 1
         token = text[a:b]
+        before = bisect_left(starts, b)
         if (len(token) >= SHORTEST and len(NO_DIGIT.sub("", token)) >= DIGITS
-                and token.isascii() and not any(a < e and s < b for s, e, _ in found)):
+                and token.isascii() and not (before and reach[before - 1] > a)):
             found.append((a, b, CANDIDATE))
     out = []
     for a, b, kind in found:

@@ -334,6 +334,21 @@ def test_base_spans():
     assert pii.base_spans("") == [] and pii.luhn("4041894974608795")
 
 
+def test_emails_and_addresses_against_plain_patterns():
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(3)
+    for _ in range(20000):
+        text = "".join(rng.choice("a@.1_- 2") for _ in range(rng.randrange(25)))
+        assert pii.emails(text) == [m.span() for m in email.finditer(text)]
+        assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in ip.finditer(text)]
+
+
+def test_long_runs_are_scanned_once():
+    text = "@ " + "a" * 500_000 + " " + "1" * 500_000 + " " + "AB-12345678 " * 20_000
+    assert sum(m[2] == pii.CANDIDATE for m in pii.mentions(text)) == 20_001
+
+
 def test_detect(spark, docs):
     got = [r for r in pii.detect(docs).collect()]
     want = []
