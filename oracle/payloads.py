@@ -24,6 +24,12 @@ def keyword_account(text: str) -> str:
 PAYLOADS = {
     "label_accounts": "SELECT i AS ord, 'Label_' || i AS label, 'Account ' || 'ABCDEFGHI'[i + 1] "
                       "AS account FROM range(9) t(i)",
+    "label_table": "SELECT c_custkey AS ord, 'Label_' || c_custkey AS label, c_name AS account "
+                   "FROM customer",
+    "keyword_table": """
+SELECT keyword, min(item_id) AS ord FROM (
+    SELECT item_id, unnest(string_split("text", ' ')) AS keyword FROM benchmark)
+WHERE length(keyword) >= 4 GROUP BY 1""",
     "p_mail": rf"""
 SELECT event_id, event_id::VARCHAR AS id, user_id || '-' || (event_id % 5) AS thread_id, props,
     CASE WHEN event_id % 11 = 0 THEN 'No-Reply@example.com'
@@ -257,3 +263,11 @@ SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN date_trunc('second', o_orderd
 SELECT message_ts, channel_id, user_id, is_reply, reply_count, reactions FROM p_messages""",
     "json_flatten": f"SELECT {_EVENT_COLUMNS} FROM p_events",
 }
+
+RECORDS["src_email_labels"] = email_run(RUN, 30).replace("label_accounts", "label_table")
+RECORDS["src_tasks_dictionary"] = f"""
+SELECT t.* REPLACE (hit.account AS account_name)
+FROM ({RECORDS["src_tasks_snapshot"]}) t LEFT JOIN (
+    SELECT task_id, arg_min('Account ' || keyword, (k.ord, keyword)) AS account
+    FROM ({RECORDS["src_tasks_snapshot"]}) JOIN keyword_table k
+        ON contains(lower(title || ' ' || notes), lower(keyword)) GROUP BY 1) hit USING (task_id)"""

@@ -32,4 +32,5 @@ def statements() -> dict[str, str]:
     bodies = {**DATASETS, **REPORTS, **RECORDS, **OPERATIONS}
     for twin in ("dedupe_latest_agg", "stream_dedupe_latest"):
         bodies[twin] = bodies["dedupe_latest_window"]
+    bodies["ops_refresh"] = bodies["gold_health"]
     return {name: compose(body, RELATIONS) for name, body in bodies.items()}

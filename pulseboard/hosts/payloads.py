@@ -200,7 +200,7 @@ def chat_messages(spark: SparkSession, sf_dir: str, since: Column | None = None,
 
 
 def task_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns as task-list pages of one task each."""
+    """Conversations as task-list pages, each turn a task."""
     conv, turn = F.col("conv_id"), F.col("turn")
     due = F.date_format(F.date_add(today(AS_OF), (conv % 40 - 20).cast("int")), "yyyy-MM-dd")
     item = F.struct(
@@ -213,9 +213,10 @@ def task_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(turn == 5, "completed").when(turn != 4, "needsAction").alias("status"),
         unless(conv % 4 == 0, _say(due, "T00:00:00.000Z")).alias("due"),
         F.lit(None).cast("string").alias("updated"))
-    return table(spark, sf_dir, "conversations").select(
-        _n(conv % 5).alias("id"), _say("List ", _n(conv % 5)).alias("title"),
-        F.array(item).alias("items"))
+    pages = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.collect_list(item).alias("items"))
+    return pages.select(_n(conv % 5).alias("id"), _say("List ", _n(conv % 5)).alias("title"),
+                        "items")
 
 
 def drive_files(spark: SparkSession, sf_dir: str) -> DataFrame:

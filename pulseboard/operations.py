@@ -17,14 +17,13 @@ from pulseboard.hosts import AS_OF, bronze, payloads
 from pulseboard.hosts.payloads import KEYWORDS, LABELS, OWN_ADDRESS
 from pulseboard.operators import quality
 from pulseboard.plans import legacy
+from pulseboard.plans.refresh import SOURCES, refresh
 from pulseboard.schemas import ACCOUNTS, CHAT, CHAT_MESSAGE, EMAILS, LEGACY, MAIL_MESSAGE
 from pulseboard.session import scratch_path
 from pulseboard.sources import chat, landing, sinks
 from pulseboard.sources import mail as mail_source
 from pulseboard.streaming import history
 
-BRONZE_SOURCES = ("accounts", "use_cases", "emails", "meetings", "chat", "tasks", "documents")
-
 
 # ---- batch sinks ---------------------------------------------------------------
 def src_staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +53,16 @@ def snk_clustered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("received_date").alias("last_received"))
 
 
+def ops_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily refresh: every table written once; the stored scorecard."""
+    raw = {name: getattr(bronze, name)(spark, sf_dir) for name in SOURCES}
+    return refresh(raw, scratch_path(spark, "refresh"), AS_OF)["health"]
+
+
 def bronze_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every bronze table once and return the log of those writes."""
     out = scratch_path(spark, "bronze")
-    for source in BRONZE_SOURCES:
+    for source in SOURCES:
         sinks.logged_write(getattr(bronze, source)(spark, sf_dir), source,
                            lambda df, observe, s=source: sinks.write_snapshot(
                                df, f"{out}/{s}", observe),
@@ -177,6 +182,7 @@ OPERATIONS: dict[str, Query] = {
     "src_staging_scan": src_staging_scan,
     "snk_snapshot_roundtrip": snk_snapshot_roundtrip,
     "snk_clustered_scan": snk_clustered_scan,
+    "ops_refresh": ops_refresh,
     "ops_run_log": ops_run_log,
     "view_legacy_activity": view_legacy_activity,
     "dq_not_null_keys": dq_not_null_keys,

@@ -1,7 +1,8 @@
 """Match free text, labels and names to accounts.
 
-A dictionary is an ordered sequence of ``(account, keywords)``; the first entry
-with a keyword contained in the text wins, ignoring case.
+A dictionary is an ordered sequence of ``(account, keywords)``, or a table of
+``(ord, account, keyword)``; the first entry with a keyword contained in the
+text wins, ignoring case.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Dictionary = Sequence[tuple[str, Sequence[str]]]
+Labels = Mapping[str, str] | DataFrame  # label to account, or a table (ord, label, account)
 
 
 def match_keywords(text: Column, dictionary: Dictionary, word_boundary: bool = False) -> Column:
@@ -83,33 +85,96 @@ def _grams(text: Column, width: int) -> Column:
         F.array().cast("array<string>"))
 
 
+def _first_hits(texts: DataFrame, key: str, text: str, dictionary: DataFrame,
+                gram_width: int) -> DataFrame:
+    """(key, account) of the texts that hold a keyword; ``key`` is unique in ``texts``."""
+    words = dictionary.select(
+        "ord", "account", F.lower("keyword").alias("_word")).where(F.length("_word") > 0)
+    lowered = texts.select(F.col(key), F.lower(F.col(text)).alias("_text"))
+    grams = lowered.select(key, F.explode(F.array_distinct(F.flatten(F.array(
+        *[_grams(F.col("_text"), w) for w in range(1, gram_width + 1)])))).alias("_gram"))
+    # a keyword goes by the one of its grams that the fewest texts hold
+    own = F.when(F.length("_word") < gram_width, F.array("_word")).otherwise(
+        _grams(F.col("_word"), gram_width))
+    held = grams.groupBy("_gram").count()
+    keyed = (words.select("_word").distinct().select("_word", F.explode(own).alias("_gram"))
+             .join(held, "_gram", "left").groupBy("_word")
+             .agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "_gram")).alias("_r"))
+             .where("_r.n > 0").select("_word", "_r._gram"))
+    candidates = (grams.join(words.join(keyed, "_word"), "_gram")
+                  .select(key, "ord", "account", "_word").join(lowered, key))
+    return (candidates.where(F.col("_text").contains(F.col("_word")))
+            .groupBy(key).agg(F.min(F.struct("ord", "account")).alias("_best"))
+            .select(key, F.col("_best.account").alias("account")))
+
+
 def match_keywords_join(texts: DataFrame, key: str, text: str, dictionary: DataFrame,
                         gram_width: int = 3) -> DataFrame:
     """First-match lookup against a dictionary *table* ``(ord, account, keyword)``.
 
     A plain "contains" join has no equality, so it would compare every text
-    with every keyword. Here both sides meet on a short gram instead: the
-    keyword's leading gram must be one of the text's grams, and the candidate is
-    then verified. A keyword shorter than the gram is its own gram, so nothing
-    is missed.
+    with every keyword. Here both sides meet on a short gram instead: one gram
+    of the keyword, the one that the fewest texts hold, must be one of the
+    text's, and the candidate is then verified. A keyword shorter than the gram
+    is its own gram, so nothing is missed; one with a gram that no text holds
+    goes at once.
 
     Grams travel with the text's key only (a text must not travel once per
     gram), and the candidates fetch their text by key. Whether the dictionary is
     broadcast is Spark's own size check; grams shared by many texts are split by
-    adaptive execution. The best match per text is found by partial aggregation.
+    adaptive execution. Counts and the best match per text are found by partial
+    aggregation.
 
     Returns ``texts`` plus ``account`` (NULL when nothing matches); ``key``
     must be unique in ``texts``.
     """
-    words = dictionary.select(
-        "ord", "account", F.lower("keyword").alias("_word")).where(F.length("_word") > 0)
-    words = words.withColumn("_gram", F.left(F.col("_word"), F.lit(gram_width)))
-    lowered = texts.select(F.col(key), F.lower(F.col(text)).alias("_text"))
-    grams = F.explode(F.array_distinct(F.flatten(F.array(
-        *[_grams(F.col("_text"), w) for w in range(1, gram_width + 1)])))).alias("_gram")
-    candidates = (lowered.select(key, grams).join(words, "_gram")
-                  .select(key, "ord", "account", "_word").join(lowered, key))
-    best = (candidates.where(F.col("_text").contains(F.col("_word")))
-            .groupBy(key).agg(F.min(F.struct("ord", "account")).alias("_best"))
-            .select(key, F.col("_best.account").alias("account")))
-    return texts.join(best, key, "left")
+    return texts.join(_first_hits(texts, key, text, dictionary, gram_width), key, "left")
+
+
+def with_account(df: DataFrame, text: Column, dictionary: Dictionary | DataFrame,
+                 account: str = "account_name") -> DataFrame:
+    """Adds the account that ``text`` names, NULL if none does.
+
+    An inline dictionary is a row-level expression. With a table, each distinct
+    text is matched once, under its digest, and rows fetch the result by it, so
+    rows need no key of their own.
+    """
+    if not isinstance(dictionary, DataFrame):
+        return df.withColumn(account, match_keywords(text, dictionary))
+    keyed = df.withColumn("_digest", F.sha2(text, 256))
+    texts = (df.select(F.sha2(text, 256).alias("_digest"), text.alias("_named"))
+             .where(F.col("_named") != "").dropDuplicates(["_digest"]))
+    hits = _first_hits(texts, "_digest", "_named", dictionary, 3).select(
+        "_digest", F.col("account").alias(account))
+    return keyed.join(hits, "_digest", "left").drop("_digest")
+
+
+def with_attendee_account(df: DataFrame, addresses: Column, dictionary: Dictionary | DataFrame,
+                          account: str = "account_name") -> DataFrame:
+    """Adds the account of the first address whose domain hits, NULL if none does."""
+    from pulseboard.functions.meetings import domain_of
+
+    if not isinstance(dictionary, DataFrame):
+        return df.withColumn(account, match_attendee_domain(addresses, dictionary))
+    domains = F.transform(addresses, domain_of)
+    digest = F.sha2(F.to_json(domains), 256)
+    lists = (df.select(digest.alias("_guests"), domains.alias("_domains"))
+             .where(F.size("_domains") > 0).dropDuplicates(["_guests"])
+             .select("_guests", F.posexplode("_domains").alias("_place", "_domain")))
+    hits = (with_account(lists, F.col("_domain"), dictionary, account)
+            .where(F.col(account).isNotNull())
+            .groupBy("_guests").agg(F.min_by(account, "_place").alias(account)))
+    return df.withColumn("_guests", digest).join(hits, "_guests", "left").drop("_guests")
+
+
+def explode_labels(df: DataFrame, labels: str, accounts: Labels, *columns: str) -> DataFrame:
+    """``columns`` of each row once per label that is known, with ``_hit``: struct<ord,account>.
+
+    A table of labels meets the rows' labels in an equality join.
+    """
+    if not isinstance(accounts, DataFrame):
+        return df.select(*columns, F.explode(label_hits(F.col(labels), accounts)).alias("_hit"))
+    known = accounts.select(F.col("label").alias("_label"),
+                            F.struct("ord", "account").alias("_hit"))
+    return (df.select(*columns, F.explode(labels).alias("_label"))
+            .join(known, "_label").drop("_label"))

@@ -80,6 +80,26 @@ def match_keywords_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.match_keywords_join(parts, "p_partkey", "p_name", dictionary)
 
 
+def src_tasks_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks against a dictionary table: all words of all benchmark passages from four letters."""
+    words = (table(spark, sf_dir, "benchmark")
+             .select("item_id", F.explode(F.split("text", " ")).alias("keyword"))
+             .where(F.length("keyword") >= 4)
+             .groupBy("keyword").agg(F.min("item_id").alias("_first")))
+    dictionary = words.select(F.struct("_first", "keyword").alias("ord"),
+                              F.concat(F.lit("Account "), "keyword").alias("account"), "keyword")
+    return tasks.tasks_snapshot(payloads.task_pages(spark, sf_dir), dictionary, AS_OF)
+
+
+def src_email_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails against a label table: one label for each customer."""
+    labels = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("ord"), F.concat(F.lit("Label_"), "c_custkey").alias("label"),
+        F.col("c_name").alias("account"))
+    return joined_arrays(mail_source.emails_snapshot(
+        payloads.mail_messages(spark, sf_dir), labels, OWN_ADDRESS, AS_OF))
+
+
 def match_attendee_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     addresses = F.transform("attendees", lambda a: F.coalesce(a["email"], F.lit("")))
     return calendar_events(spark, sf_dir).select(
@@ -166,6 +186,8 @@ RECORDS: dict[str, Query] = {
     "src_calendar_snapshot": src_calendar_snapshot,
     "src_chat_snapshot": src_chat_snapshot,
     "src_tasks_snapshot": _on("task_pages", lambda d: tasks.tasks_snapshot(d, KEYWORDS, AS_OF)),
+    "src_tasks_dictionary": src_tasks_dictionary,
+    "src_email_labels": src_email_labels,
     "src_folder_walk": _on("drive_files", lambda d: documents.folder_documents(
         d, ROOT, ALIASES, AS_OF)),
     "match_keywords_expr": _on_table("part", lambda d: d.select(

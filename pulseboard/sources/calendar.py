@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from pulseboard.functions.clock import days, now, parse_iso
 from pulseboard.functions.meetings import encode_attendees, video_link
-from pulseboard.operators.matching import Dictionary, match_attendee_domain, match_keywords
+from pulseboard.operators.matching import (Dictionary, match_attendee_domain, match_keywords,
+                                           with_account, with_attendee_account)
 
 # Snapshot window around the run, in days.
 BACK_DAYS, AHEAD_DAYS = 30, 60
@@ -38,21 +39,27 @@ def flatten_events(raw: DataFrame, as_of: datetime) -> DataFrame:
         F.transform("attendees", lambda a: F.coalesce(a["email"], F.lit(""))).alias("_addresses"))
 
 
-def calendar_snapshot(raw: DataFrame, dictionary: Dictionary, as_of: datetime,
+def calendar_snapshot(raw: DataFrame, dictionary: Dictionary | DataFrame, as_of: datetime,
                       back_days: int = BACK_DAYS, ahead_days: int = AHEAD_DAYS) -> DataFrame:
     """Events of the window that match an account; the others are dropped.
 
     An event whose start cannot be read is kept: it may be in the window.
     """
     start = F.col("start_time")
-    account = F.coalesce(match_keywords(F.col("_text"), dictionary),
-                         match_attendee_domain(F.col("_addresses"), dictionary))
-    return (flatten_events(raw, as_of)
-            .where(start.isNull() | start.between(now(as_of) - days(back_days),
-                                                  now(as_of) + days(ahead_days)))
-            # one row per match or none: matched once, while a filter on the
-            # match would be pushed down and evaluate it a second time
-            .withColumn("account_name", F.explode(F.array_compact(F.array(account))))
+    events = flatten_events(raw, as_of).where(
+        start.isNull() | start.between(now(as_of) - days(back_days),
+                                       now(as_of) + days(ahead_days)))
+    if isinstance(dictionary, DataFrame):
+        events = with_attendee_account(
+            with_account(events, F.col("_text"), dictionary, "_by_text"),
+            F.col("_addresses"), dictionary, "_by_guest")
+        account = F.coalesce("_by_text", "_by_guest")
+    else:
+        account = F.coalesce(match_keywords(F.col("_text"), dictionary),
+                             match_attendee_domain(F.col("_addresses"), dictionary))
+    # one row per match or none: matched once, while a filter on the match
+    # would be pushed down and evaluate it a second time
+    return (events.withColumn("account_name", F.explode(F.array_compact(F.array(account))))
             .select("event_id", "account_name", "event_title", "description", "location",
                     "start_time", "end_time", "attendees", "video_link", "status",
                     "organizer_email", "html_link", "_extracted_at"))

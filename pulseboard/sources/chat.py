@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 from pulseboard.functions.clock import days, now, parse_epoch
 from pulseboard.functions.meetings import is_thread_reply, reaction_names
 from pulseboard.operators.dedupe import first_per_key
-from pulseboard.operators.matching import Dictionary, match_keywords
+from pulseboard.operators.matching import Dictionary, with_account
 
 # Look-back in days.
 SNAPSHOT_DAYS, INCREMENTAL_DAYS = 14, 2
 
 
-def matched_channels(channels: DataFrame, dictionary: Dictionary) -> DataFrame:
+def matched_channels(channels: DataFrame, dictionary: Dictionary | DataFrame) -> DataFrame:
     """Channels whose name or purpose names an account."""
     name = F.coalesce("name", F.lit(""))
     text = F.concat(name, F.lit(" "), F.coalesce("purpose.value", F.lit("")))
-    return (channels.select("ord", F.col("id").alias("channel_id"), name.alias("channel_name"),
-                            match_keywords(text, dictionary).alias("account_name"))
-            .where(F.col("account_name").isNotNull()))
+    return (with_account(channels, text, dictionary).where(F.col("account_name").isNotNull())
+            .select("ord", F.col("id").alias("channel_id"), name.alias("channel_name"),
+                    "account_name"))
 
 
 def flatten_messages(messages: DataFrame, as_of: datetime) -> DataFrame:
@@ -38,7 +38,7 @@ def flatten_messages(messages: DataFrame, as_of: datetime) -> DataFrame:
         now(as_of).alias("_extracted_at"))
 
 
-def chat_snapshot(channels: DataFrame, messages: DataFrame, dictionary: Dictionary,
+def chat_snapshot(channels: DataFrame, messages: DataFrame, dictionary: Dictionary | DataFrame,
                   as_of: datetime, back_days: int = SNAPSHOT_DAYS) -> DataFrame:
     """Messages of matched channels in the window, one row per timestamp.
 
@@ -53,7 +53,7 @@ def chat_snapshot(channels: DataFrame, messages: DataFrame, dictionary: Dictiona
         "sent_at", "thread_ts", "is_reply", "reply_count", "reactions", "_extracted_at")
 
 
-def chat_incremental(channels: DataFrame, messages: DataFrame, dictionary: Dictionary,
-                     as_of: datetime, back_days: int = INCREMENTAL_DAYS) -> DataFrame:
+def chat_incremental(channels: DataFrame, messages: DataFrame,
+                     dictionary: Dictionary | DataFrame, as_of: datetime, back_days: int = INCREMENTAL_DAYS) -> DataFrame:
     """One incremental run: two days back, of which one is a safety overlap."""
     return chat_snapshot(channels, messages, dictionary, as_of, back_days)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulseboard.functions.clock import now
 from pulseboard.functions.text import normalise_newlines
-from pulseboard.operators.matching import Dictionary, match_alias
+from pulseboard.operators.matching import Dictionary, with_account
 from pulseboard.operators.tree import root_children_closure
 
 # Kinds of folder entries.
@@ -17,8 +17,8 @@ FOLDER = "application/vnd.google-apps.folder"
 DOCUMENT = "application/vnd.google-apps.document"
 
 
-def folder_documents(files: DataFrame, root_id: str, aliases: Dictionary, as_of: datetime,
-                     width: int | None = None) -> DataFrame:
+def folder_documents(files: DataFrame, root_id: str, aliases: Dictionary | DataFrame,
+                     as_of: datetime, width: int | None = None) -> DataFrame:
     """Documents anywhere below a child folder of the root, empty ones dropped.
 
     Only the folders take part in the recursive walk; documents join its result
@@ -27,8 +27,9 @@ def folder_documents(files: DataFrame, root_id: str, aliases: Dictionary, as_of:
     """
     folders = files.where(F.col("mimeType") == FOLDER).select("id", "parent", "name")
     closure = root_children_closure(folders, root_id)
-    accounts = folders.where(F.col("parent") == root_id).select(
-        F.col("id").alias("top"), match_alias(F.col("name"), aliases).alias("account_name"))
+    tops = with_account(folders.where(F.col("parent") == root_id), F.col("name"), aliases)
+    accounts = tops.select(F.col("id").alias("top"),
+                           F.coalesce("account_name", "name").alias("account_name"))
     home = closure.join(accounts, "top").select(F.col("id").alias("parent"), "account_name")
     return (files.where(F.col("mimeType") == DOCUMENT)
             .join(home, "parent")

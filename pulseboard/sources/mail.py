@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -12,13 +11,13 @@ from pulseboard.functions import mail as m
 from pulseboard.functions.clock import days, now, parse_mail_date
 from pulseboard.functions.text import html_to_text
 from pulseboard.operators.dedupe import first_per_key
-from pulseboard.operators.matching import label_hits
+from pulseboard.operators.matching import Labels, explode_labels
 
 # Look-back in days.
 SNAPSHOT_DAYS, INCREMENTAL_DAYS = 30, 2
 
 
-def select_labelled(raw: DataFrame, accounts: Mapping[str, str], as_of: datetime,
+def select_labelled(raw: DataFrame, accounts: Labels, as_of: datetime,
                     back_days: int, per_label: int | None = None) -> DataFrame:
     """Messages of the look-back window with a known label.
 
@@ -30,11 +29,11 @@ def select_labelled(raw: DataFrame, accounts: Mapping[str, str], as_of: datetime
     are neither read nor sorted for it, and fetched by id.
     """
     narrow = raw.select(
-        "id", label_hits(F.col("labelIds"), accounts).alias("_hits"),
+        "id", "labelIds",
         parse_mail_date(m.header(F.col("headers"), "date"), now(as_of)).alias("received_date"))
-    hits = (narrow.where(F.col("received_date") >= now(as_of) - days(back_days))
-            .select("id", "received_date", F.explode("_hits").alias("_hit"))
-            .distinct())                            # copies take one place, not two
+    fresh = narrow.where(F.col("received_date") >= now(as_of) - days(back_days))
+    # copies take one place, not two
+    hits = explode_labels(fresh, "labelIds", accounts, "id", "received_date").distinct()
     if per_label is not None:
         hits = first_per_key(hits, "_hit.ord",
                              [F.col("received_date").desc(), F.col("id")], limit=per_label)
@@ -72,7 +71,7 @@ def to_emails(selected: DataFrame, own_address: str, as_of: datetime,
         now(as_of).alias("_extracted_at"))
 
 
-def emails_snapshot(raw: DataFrame, accounts: Mapping[str, str], own_address: str,
+def emails_snapshot(raw: DataFrame, accounts: Labels, own_address: str,
                     as_of: datetime, back_days: int = SNAPSHOT_DAYS,
                     body_width: int | None = None) -> DataFrame:
     """Full snapshot: the labelled messages of the window."""
@@ -80,7 +79,7 @@ def emails_snapshot(raw: DataFrame, accounts: Mapping[str, str], own_address: st
                      body_width)
 
 
-def newest_per_label(raw: DataFrame, accounts: Mapping[str, str], own_address: str,
+def newest_per_label(raw: DataFrame, accounts: Labels, own_address: str,
                      as_of: datetime, per_label: int,
                      back_days: int = SNAPSHOT_DAYS) -> DataFrame:
     """The newest ``per_label`` messages of every label."""
@@ -88,7 +87,7 @@ def newest_per_label(raw: DataFrame, accounts: Mapping[str, str], own_address: s
                      own_address, as_of)
 
 
-def emails_incremental(raw: DataFrame, accounts: Mapping[str, str], own_address: str,
+def emails_incremental(raw: DataFrame, accounts: Labels, own_address: str,
                        as_of: datetime, back_days: int = INCREMENTAL_DAYS,
                        body_width: int | None = None) -> DataFrame:
     """One incremental run: two days back, of which one is a safety overlap."""

@@ -6,6 +6,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from pulseboard import records
 from pulseboard.catalog import Inputs
 from pulseboard.functions import text as txt
 from pulseboard.hosts import bronze, payloads
@@ -212,6 +213,47 @@ def test_staging_is_replaced(spark, path):
     assert landing.read_staging(spark, path, ACCOUNTS).count() == accounts.count()
 
 
+# ---- dictionary tables ---------------------------------------------------------
+def keyword_table(spark, dictionary):
+    """The dictionary as a table, with 300 words more that no text holds."""
+    rows = [(i, account, word) for i, (account, words) in enumerate(dictionary) for word in words]
+    rows += [(100 + i, f"Filler {i}", f"zq{i}xj") for i in range(300)]
+    return spark.createDataFrame(rows, "ord int, account string, keyword string")
+
+
+SOURCES_BY_DICTIONARY = {
+    "calendar": (KEYWORDS, lambda s, d: calendar.calendar_snapshot(
+        records.calendar_events(s, SF_DIR), d, AS_OF)),
+    "chat": (KEYWORDS, lambda s, d: chat.chat_snapshot(
+        payloads.chat_channels(s, SF_DIR), payloads.chat_messages(s, SF_DIR), d, AS_OF)),
+    "tasks": (KEYWORDS, lambda s, d: tasks.tasks_snapshot(
+        payloads.task_pages(s, SF_DIR), d, AS_OF)),
+    "documents": (payloads.ALIASES, lambda s, d: documents.folder_documents(
+        payloads.drive_files(s, SF_DIR), payloads.ROOT, d, AS_OF)),
+}
+
+
+@pytest.mark.parametrize("source", SOURCES_BY_DICTIONARY)
+def test_dictionary_table_equals_inline(spark, source):
+    dictionary, run = SOURCES_BY_DICTIONARY[source]
+    inline, table = run(spark, dictionary), run(spark, keyword_table(spark, dictionary))
+    assert table.columns == inline.columns
+    left, right = (sorted(map(str, df.collect())) for df in (inline, table))
+    assert left and left == right
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_label_table_equals_inline(spark):
+    raw = payloads.mail_messages(spark, SF_DIR)
+    rows = [(i, label, account) for i, (label, account) in enumerate(LABELS.items())]
+    rows += [(100 + i, f"Other_{i}", f"Filler {i}") for i in range(300)]
+    table = spark.createDataFrame(rows, "ord int, label string, account string")
+    left, right = (sorted(map(str, mail.emails_snapshot(raw, known, OWN_ADDRESS, AS_OF).collect()))
+                   for known in (LABELS, table))
+    assert left and left == right
+
+
 # ---- refresh --------------------------------------------------------------------
 def test_refresh_writes_each_layer_once(spark, path):
     raw = {name: getattr(bronze, name)(spark, SF_DIR) for name in refresh.SOURCES}
