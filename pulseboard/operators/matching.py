@@ -71,18 +71,21 @@ def match_labels(labels: Column, accounts: Mapping[str, str]) -> Column:
 def _grams(text: Column, width: int) -> Column:
     """Distinct substrings of ``width`` characters.
 
-    Splitting into characters once keeps this linear; ``substring`` by position
-    would rescan the text for every gram.
+    ``substring`` by position would rescan the text for every gram, and so would
+    a split inside the inner lambda; the outer one holds the characters, which
+    keeps this linear.
     """
-    chars = F.split(text, "")
-    count = F.size(chars) - F.lit(width - 1)
+    def grams(chars: Column) -> Column:
+        count = F.size(chars) - F.lit(width - 1)
 
-    def gram(i: Column) -> Column:
-        return F.concat(*[F.get(chars, i + F.lit(k - 1)) for k in range(width)])
+        def gram(i: Column) -> Column:
+            return F.concat(*[F.get(chars, i + F.lit(k - 1)) for k in range(width)])
 
-    return F.when(count >= 1, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))), gram))).otherwise(
-        F.array().cast("array<string>"))
+        return F.when(count >= 1, F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.greatest(count, F.lit(1))), gram))).otherwise(
+            F.array().cast("array<string>"))
+
+    return F.get(F.transform(F.array(F.split(text, "")), grams), F.lit(0))
 
 
 def _first_hits(texts: DataFrame, key: str, text: str, dictionary: DataFrame,
