@@ -9,7 +9,7 @@ of texts is scored by two matrix products: presence x landmarks, kernel x weight
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,7 +25,12 @@ LANDMARKS = 160
 RIDGE = 1e-4
 BATCH_BYTES = 2 << 20  # of text compared at once; a character takes some 50 bytes
 UNKNOWN = "und"
-SURE = 0.25  # below it a text is like no learned language and may be rejected
+OUTSIDE = 60  # labelled documents of a language outside the fit, from which comes what
+# share of a text's grams a learned language knows; in all at most OUTSIDE_ROWS
+OUTSIDE_ROWS = 1000
+COMMON = 0.02  # share of a language's fitted documents a gram stands in to be known
+LOW, SLACK = 0.01, 0.75  # a text is unlike below SLACK times this quantile of theirs
+CUT = 0.6  # where no labelled document is outside the fit
 
 
 def letters() -> np.ndarray:
@@ -70,6 +75,15 @@ class Model:
     languages: tuple[str, ...]
     landmarks: np.ndarray  # packed presence bits
     weights: np.ndarray  # landmarks x languages
+    known: np.ndarray | None = None  # packed bits of the grams common in each language
+    cut: float = CUT
+
+    def share(self, grams: np.ndarray) -> np.ndarray:
+        """Largest share of a text's grams that are common in one language. Unlike the
+        score, whose ridge gives 0.5 to a text that is far from all landmarks, it falls
+        towards 0 for other scripts, other languages and random letters."""
+        known = np.unpackbits(self.known, axis=1, count=DIMS).astype(np.float32)
+        return (grams @ known.T).max(axis=1) / np.maximum(grams.sum(axis=1), 1)
 
     def kernel(self, grams: np.ndarray) -> np.ndarray:
         marks = np.unpackbits(self.landmarks, axis=1, count=DIMS).astype(np.float32)
@@ -82,11 +96,12 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(key % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, per_language: int, rows: int) -> DataFrame:
-    """(doc_id, lang) of the labelled documents to fit on, by hash order; languages take
-    turns, so that each is there. Ids and labels only, texts are not sorted."""
+def sample(docs: DataFrame, per_language: int, rows: int, outside: bool = False) -> DataFrame:
+    """(doc_id, lang) of the labelled documents to fit on (or of those outside the fit), by
+    hash order; languages take turns, so that each is there. Ids and labels only, texts are
+    not sorted."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
-                       & F.col("doc_id").isNotNull() & ~held_out())
+                       & F.col("doc_id").isNotNull() & (held_out() if outside else ~held_out()))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     return (known.select("doc_id", "lang").withColumn("turn", F.row_number().over(order))
             .where(F.col("turn") <= per_language)
@@ -96,24 +111,30 @@ def sample(docs: DataFrame, per_language: int, rows: int) -> DataFrame:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = TRAIN_ROWS,
         landmarks: int = LANDMARKS) -> Model:
-    """Fit on at most ``rows`` labelled documents outside the held-out fold. Presence bits
-    are computed where the texts are; only they come to the driver."""
+    """Fit on at most ``rows`` labelled documents outside the held-out fold; at most
+    OUTSIDE_ROWS of that fold say how unlike a text of a learned language can be. Presence
+    bits are computed where the texts are; only they come to the driver."""
     docs = docs.select(F.col("doc_id").cast("long"), "text", "lang")
-    chosen = stored(sample(docs, per_language, rows), "language-sample")
+    chosen = stored(
+        sample(docs, per_language, rows).withColumn("outside", F.lit(0)).unionByName(
+            sample(docs, OUTSIDE, OUTSIDE_ROWS, True).withColumn("outside", F.lit(1))),
+        "language-sample")
 
     def step():
         def work(batch):
             grams, seen = presence(batch.column("text").to_pylist())
             bits = np.packbits(grams.astype(np.uint8), axis=1)
             return {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"),
+                    "outside": batch.column("outside"),
                     "bits": [b.tobytes() if s else None for b, s in zip(bits, seen)]}
         return work
 
     texts = docs.drop("lang").join(chosen, "doc_id")
-    found = (map_batches(texts, step, {"doc_id": "bigint", "lang": "string", "bits": "binary"},
-                         128, BATCH_BYTES)
+    found = (map_batches(texts, step, {"doc_id": "bigint", "lang": "string", "outside": "int",
+                                       "bits": "binary"}, 128, BATCH_BYTES)
              .where("bits IS NOT NULL").dropDuplicates(["doc_id"])
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect())
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows + OUTSIDE_ROWS).collect())
+    others, found = [r for r in found if r["outside"]], [r for r in found if not r["outside"]]
     languages = tuple(sorted({r["lang"] for r in found}))
     if not languages:
         return Model((), np.zeros((0, DIMS // 8), np.uint8), np.zeros((0, 0), np.float32))
@@ -130,14 +151,23 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = TRAIN_ROW
                       1.0, -1.0)
     ridge = RIDGE * len(found) * (core + 1e-6 * np.eye(len(core)))
     weights = np.linalg.lstsq(full.T @ full + ridge, full.T @ target, rcond=None)[0]
-    return Model(languages, packed, weights.astype(np.float32))
+    known = np.packbits(np.array([grams[target[:, i] > 0].mean(axis=0) >= COMMON
+                                  for i in range(len(languages))]), axis=1)
+    model = Model(languages, packed, weights.astype(np.float32), known)
+    others = [r["bits"] for r in others if r["lang"] in languages]
+    if not others:
+        return model
+    shares = model.share(np.unpackbits(np.frombuffer(b"".join(others), np.uint8)
+                                       .reshape(len(others), -1), axis=1).astype(np.float32))
+    return replace(model, cut=SLACK * float(np.quantile(shares, LOW)))
 
 
 def predict(docs: DataFrame, model: Model, columns: dict[str, str] | None = None) -> DataFrame:
-    """The given columns (doc_id if none are named), ``lang_pred`` and ``score`` per input
-    row; the prediction uses the text alone.
+    """The given columns (doc_id if none are named), ``lang_pred``, ``score`` and ``share``
+    per input row; the prediction uses the text alone.
 
-    A null text, one without a letter, or an empty model gives ``und`` with score 0.
+    A null text, one without a letter, or an empty model gives ``und`` with score and
+    share 0.
     Repeated rows and null ids are scored like any other.
     """
     columns = columns or {"doc_id": "bigint"}
@@ -148,26 +178,31 @@ def predict(docs: DataFrame, model: Model, columns: dict[str, str] | None = None
         def work(batch):
             grams, seen = presence(batch.column("text").to_pylist())
             if not model.languages:
-                best, top = np.zeros(len(seen), int), np.zeros(len(seen))
+                best, top, share = np.zeros(len(seen), int), np.zeros(len(seen)), np.zeros(
+                    len(seen))
             else:
+                share = model.share(grams)
                 scores = model.kernel(grams) @ model.weights
                 best, top = scores.argmax(axis=1), (scores.max(axis=1) + 1) / 2
             best = np.where(seen, best, len(model.languages))
             return {**{c: batch.column(c) for c in columns}, "lang_pred": names[best].tolist(),
-                    "score": np.where(seen, np.clip(top, 0, 1), 0.0).astype(np.float64)}
+                    "score": np.where(seen, np.clip(top, 0, 1), 0.0).astype(np.float64),
+                    "share": np.where(seen, share, 0.0).astype(np.float64)}
         return work
 
     read = [F.col(c).cast(kind).alias(c) for c, kind in {**columns, "text": "string"}.items()]
     return map_batches(docs.select(*read), step,
-                       {**columns, "lang_pred": "string", "score": "double"}, 256, BATCH_BYTES)
+                       {**columns, "lang_pred": "string", "score": "double", "share": "double"},
+                       256, BATCH_BYTES)
 
 
-def keep(docs: DataFrame, model: Model, least: float = SURE) -> DataFrame:
-    """The documents (columns of the table) in a learned language."""
+def keep(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents (columns of the table) in a learned language. A text whose grams are
+    less known in every language than those of labelled documents outside the fit goes."""
     columns = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string",
                "n_chars": "bigint"}
     return (predict(docs, model, columns)
-            .where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+            .where((F.col("lang_pred") != UNKNOWN) & (F.col("share") >= model.cut))
             .select(*columns))
 
 

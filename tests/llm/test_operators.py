@@ -287,6 +287,30 @@ def test_language_edges(spark, docs):
     assert len(sampled) == 8 and all(zlib.crc32(str(i).encode()) % 4 != 2 for i in sampled)
 
 
+def test_unlike_texts_go(spark):
+    frame = spark.read.parquet(f"{SF_DIR}/../sf0.01/documents.parquet")
+    rng = random.Random(1)
+
+    def junk(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    unlike = [
+        "这是一个关于语言识别的文本,我们希望它不会被当作已知语言。今天天气很好。",
+        "Это текст на русском языке, который не должен считаться известным. Сегодня хорошо.",
+        "Zażółć gęślą jaźń, to jest tekst w języku polskim, który nie powinien zostać uznany",
+        "Tämä on suomenkielinen teksti, jota ei pitäisi tunnistaa tunnetuksi kieleksi. Tänään",
+        junk("bcdfghjklmnpqrstvwxz ", 900), junk("0123456789abcdef", 900),
+        junk("abcdefghijklmnopqrstuvwxyz ", 60000)]
+    labelled = [r["text"] for r in frame.where(langid.held_out() & (F.length("text") > 40))
+                .collect() if re.search(r"[^\W\d_]{3}", r["text"][:30])]
+    short = [" ".join(t.split()[:8]) for t in labelled]
+    rows = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(
+        unlike + labelled + short)], DOCS)
+    kept = {r["doc_id"] for r in langid.keep(rows, langid.fit(frame)).collect()}
+    assert not kept & set(range(len(unlike)))
+    assert len(kept) == len(labelled) + len(short) > 300
+
+
 # 6 -----------------------------------------------------------------------------------
 
 def test_mixing(spark, docs):
