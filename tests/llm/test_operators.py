@@ -634,3 +634,21 @@ def test_pipeline_stages(spark, docs, table):
     assert final.count() > 0
     lengths = final.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
     assert all(r["n"] & (r["n"] - 1) == 0 and r["n"] <= 4096 for r in lengths)
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    near = prose(2, 300)
+    texts = [(None, prose(50 + i, 60)) for i in range(6)]  # unrelated texts without ids
+    texts += [(None, near), (3, near + " x"), (9, near), (3, near + " x")]
+    texts += [(9, prose(70, 80)), (9, prose(71, 80)), (None, prose(50, 60)), (4, None), (None, "")]
+    rows = [(i, t, None, None, None) for i, t in texts]
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, DOCS), SF_DIR)
+    ids = list(range(len(rows)))
+    low = slow_components(ids, [slow_print(t) for _, t in texts], 4)
+    want = []
+    for g in set(low):
+        members = [texts[i] for i in ids if low[i] == g]
+        want.append(min(members, key=lambda m: (m[0] is None, m[0] or 0, slow_print(m[1]))))
+    assert len(want) == 10
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(
+        want, key=str)
