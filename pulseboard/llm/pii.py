@@ -4,7 +4,9 @@ Entities of fixed format are the seeds. The words around each mention are its le
 patterns. Tokens that look like identifiers but fit no format are candidates, with
 patterns of their own. Over the graph of patterns and instances, in rounds: a pattern is
 as good as the share of confident instances among those it meets; an instance is as
-likely as the patterns that meet it make it. What ends up confident is personal data.
+likely as the average pattern before it, after it or around it. Only sides where most
+patterns are trusted speak, so an instance does not become likely by standing in many
+places. What ends up confident is personal data.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ WRAP = "\"'`.,;:!?()[]{}<>"
 ROUNDS = 3
 SUPPORT = 5  # distinct confident instances a pattern needs
 CONFIDENT = 0.9
+TRUST = 0.8  # share of confident instances from which a pattern speaks for others
 SHORTEST, DIGITS = 8, 3  # characters and digits a candidate has at least
 
 MENTION = ("start", "end", "kind", "instance", "before", "after", "both")
@@ -164,32 +167,45 @@ def _mentions(rows: DataFrame) -> DataFrame:
 
 
 def discover(rows: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
-             confident: float = CONFIDENT) -> DataFrame:
+             confident: float = CONFIDENT, least: float = TRUST) -> DataFrame:
     """(instance) of the candidates found to be personal data.
 
+    A pattern is trusted if its share of confident instances is ``least`` or more and it
+    has met ``support`` of them, a discovered one counting half a seed. On each side
+    (before, after, both) an instance has the mean trust of its patterns met by
+    ``support`` instances or more, if that is at least ``least`` and no fewer than half of
+    all its patterns there are trusted. The sides that are left are taken as independent.
+
     The graph is grouped to distinct (pattern, instance) edges first; a pattern that very
     many mentions share is summed with partial aggregation, and the joins on it are plain
     joins that adaptive execution splits.
     """
     m = _mentions(rows)
     edges = stored(
-        m.select("instance", (F.col("kind") != CANDIDATE).alias("seed"), F.explode(
-            F.array("before", "after", "both")).alias("pattern"))
-        .groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
+        m.select("instance", (F.col("kind") != CANDIDATE).alias("seed"), F.posexplode(
+            F.array("before", "after", "both")).alias("side", "pattern"))
+        .groupBy("pattern", "side", "instance").agg(F.max("seed").alias("seed")), "edges")
     likely = stored(edges.where("seed").select("instance").distinct()
                     .withColumn("belief", F.lit(1.0)), "beliefs")
     seeds = likely
     for _ in range(rounds):
         sure = F.coalesce("belief", F.lit(0.0))
+        known = F.when(sure < confident, 0.0).when(F.col("seed"), 1.0).otherwise(0.5)
+        trust = F.col("mass") / (F.col("n") + 1)
         patterns = (edges.join(likely, "instance", "left").groupBy("pattern")
                     .agg(F.sum(sure).alias("mass"), F.count("*").alias("n"),
-                         F.sum((sure >= confident).cast("int")).alias("known"))
-                    .where(F.col("known") >= support)
-                    .select("pattern", (F.col("mass") / (F.col("n") + 1)).alias("trust")))
-        doubt = F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9))))
-        found = (edges.where("NOT seed").join(patterns, "pattern").groupBy("instance")
-                 .agg((1 - F.exp(doubt)).alias("belief")))
-        likely = stored(found.unionByName(seeds), "beliefs")
+                         F.sum(known).alias("known"))
+                    .where(F.col("n") >= support)
+                    .select("pattern", trust.alias("trust"), (
+                        (F.col("known") >= support) & (trust >= least)).alias("votes")))
+        sides = (edges.where("NOT seed").join(patterns, "pattern", "left")
+                 .groupBy("instance", "side").agg(
+                     F.avg("trust").alias("mean"), F.count("*").alias("n"),
+                     F.count_if(F.coalesce("votes", F.lit(False))).alias("votes"))
+                 .where((F.col("mean") >= least) & (2 * F.col("votes") >= F.col("n"))))
+        doubt = F.sum(F.log(F.greatest(1 - F.col("mean"), F.lit(1e-9))))
+        found = sides.groupBy("instance").agg((1 - F.exp(doubt)).alias("belief"))
+        likely = stored(found.join(seeds, "instance", "left_anti").unionByName(seeds), "beliefs")
     return (likely.where(F.col("belief") >= confident).join(seeds, "instance", "left_anti")
             .select("instance"))
 

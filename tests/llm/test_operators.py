@@ -427,6 +427,23 @@ def test_bootstrapping(spark):
     assert clean[1]["n_chars"] == len(clean[1]["text"])
 
 
+def test_frequent_tokens_are_not_discovered(spark):
+    texts = [f"reach me at number u{i}@mail{i}.org today please" for i in range(30)]
+    texts += [f"write to address w{i}@mail{i}.org soon please" for i in range(30)]
+    texts += ["at number QX-774-9021 today", "to address AB-555-1234 soon"]
+    # a date in hundreds of contexts: each met a few seeds among many other tokens
+    for k in range(300):
+        texts += [f"w{k}x k{k}u{i}@mail{i}.org v{k}x" for i in range(5)]
+        texts += [f"w{k}x PART{k}{i}55512 v{k}x" for i in range(5)]
+        texts.append(f"w{k}x 2024-01-05 v{k}x")
+    # and twice in a trusted one
+    texts += ["at number 2024-01-05 today", "to address 2024-01-05 soon"]
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    spans = by_id(pii.detect(frame))
+    assert spans[60]["spans"] == "id:10:21" and spans[61]["spans"] == "id:11:22"
+    assert all("id:" not in spans[i]["spans"] for i in range(62, len(texts)))
+
+
 def test_redact_edges(spark, docs):
     got = pii.redact(docs)
     assert got.columns == corpus_pipeline.COLUMNS and got.count() == len(awkward())
