@@ -12,8 +12,6 @@ places. What ends up confident is personal data.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
-from itertools import accumulate
 
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,14 +28,20 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT, NO_DIGIT = re.compile("[0-9]"), re.compile("[^0-9]")
-TOKEN = re.compile(r"\S+")
+# Words end at spaces and at the marks that separate fields. A candidate is a run between
+# such marks or characters that are not ASCII, or digit groups joined by single spaces.
+SEPARATORS = frozenset(",;=:|\"'`()[]{}<>")
+WORD = re.compile(r"[^\s,;=:|\"'`()\[\]{}<>]+")
+RUN = re.compile(r"\+?[A-Za-z0-9](?:[!#$%&*+./@\\^_~A-Za-z0-9-]*[A-Za-z0-9])?")
+GROUPS = re.compile(r"(?<![A-Za-z0-9-])(?:\+?(?:[0-9]++ )?\([0-9]++\) ?"
+                    r"|\+?[A-Za-z]{0,4}[0-9]++(?:-[0-9]++)*+(?: [A-Z]{4})? )"
+                    r"[0-9]++(?:-[0-9]++)*+(?: [0-9]++(?:-[0-9]++)*+)*(?![A-Za-z0-9])")
 WRAP = "\"'`.,;:!?()[]{}<>"
 
 ROUNDS = 3
 SUPPORT = 5  # distinct confident instances a pattern needs
 CONFIDENT = 0.9
 TRUST = 0.8  # share of confident instances from which a pattern speaks for others
-SHORTEST, DIGITS = 8, 3  # characters and digits a candidate has at least
 
 MENTION = ("start", "end", "kind", "instance", "before", "after", "both")
 FIELDS = {"doc_id": "bigint", **{f"m_{n}": "array<bigint>" for n in MENTION}}
@@ -96,42 +100,37 @@ def _hash(*parts: str) -> int:
 def _word(text: str, at: int, forward: bool) -> str:
     """The next word from ``at``, lower-cased, without marks around it; '' if none."""
     if forward:
-        found = TOKEN.search(text, at)
-        return found.group()[:64].strip(WRAP).lower() if found else ""
+        found = WORD.search(text, at)
+        return text[found.start(): min(found.end(), found.start() + 64)].strip(
+            WRAP).lower() if found else ""
     stop = at
-    while stop and text[stop - 1].isspace():
+    while stop and (text[stop - 1].isspace() or text[stop - 1] in SEPARATORS):
         stop -= 1
     start = stop
-    while start and stop - start < 64 and not text[start - 1].isspace():
+    while start and stop - start < 64 and not (
+            text[start - 1].isspace() or text[start - 1] in SEPARATORS):
         start -= 1
     return text[start:stop].strip(WRAP).lower()
 
 
+def candidates(text: str, seeds: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Runs with a digit, of any length, in what the seeds leave of the text; digit groups
+    that spaces or brackets part are one more candidate as a whole."""
+    out, at = [], 0
+    for start, _, end in [*seeds, (len(text), 0, len(text))]:
+        if start > at:
+            out += [m.span() for m in RUN.finditer(text, at, start) if DIGIT.search(m.group())]
+            out += [m.span() for m in GROUPS.finditer(text, at, start)]
+        at = max(at, end)
+    return out
+
+
 def mentions(text: str) -> list[tuple]:
     """Seeds and candidates of a text: (start, end, kind, instance, three patterns)."""
     spans = base_spans(text)
     found = [(a, b, k) for a, k, b in spans]
-    # what a candidate may overlap are the seeds; candidates are separate tokens
-    starts, reach = [a for a, _, _ in spans], list(accumulate((b for _, _, b in spans), max))
-    upto = 0
-    for m in DIGIT.finditer(text):
-        if m.start() < upto:
-            continue
-        a = m.start()
-        while a and not text[a - 1].isspace():
-            a -= 1
-        upto = next((i for i in range(m.start(), len(text)) if text[i].isspace()), len(text))
-        a = max(a, max((text.rfind(c, a, upto) + 1 for c in "=:"), default=a))
-        b = upto
-        while a < b and text[a] in WRAP:
-            a += 1
-        while b > a and text[b - 1] in WRAP:
-            b -= 1
-        token = text[a:b]
-        before = bisect_left(starts, b)
-        if (len(token) >= SHORTEST and len(NO_DIGIT.sub("", token)) >= DIGITS
-                and token.isascii() and not (before and reach[before - 1] > a)):
-            found.append((a, b, CANDIDATE))
+    if DIGIT.search(text):
+        found += [(a, b, CANDIDATE) for a, b in candidates(text, spans)]
     out = []
     for a, b, kind in found:
         before, after = _word(text, a, False), _word(text, b, True)

@@ -384,6 +384,34 @@ def test_detect(spark, docs):
     assert pii.detect(empty(spark)).count() == 0
 
 
+def test_candidates():
+    def found(text):
+        return {text[m[0]:m[1]] for m in pii.mentions(text) if m[2] == pii.CANDIDATE}
+
+    assert found("id=12345678,name=foo") == {"12345678"}
+    assert found("a@b.org,123-45-6789") == {"123-45-6789"}
+    assert found('{"ssn":"123-45-6789","k":[7]}') == {"123-45-6789", "7"}
+    assert found("号码12345678在 éAB-1234567") == {"12345678", "AB-1234567"}
+    assert "DE89 3704 0044 0532 0130 00" in found("to DE89 3704 0044 0532 0130 00 now")
+    assert "GB29 NWBK 6016 1331 9268 19" in found("to GB29 NWBK 6016 1331 9268 19 now")
+    assert "663 555 6869" in found("call 663 555 6869.")
+    assert "(663) 555-6869" in found("call (663) 555-6869, or not")
+    assert found("user7 in no. 12!") == {"user7", "12"}
+    for text in ("1 " * 200_000, "1" * 400_000 + "x ", "(1" * 200_000, "1-" * 200_000,
+                 "a!" * 200_000, "a" + "!" * 400_000):
+        pii.mentions(text)
+
+
+def test_discovery_of_short_and_spaced_identifiers(spark):
+    texts = [f"reach me at number u{i}@mail{i}.org today please" for i in range(30)]
+    texts += ["at number (663) 555-6869 today", "at number DE89 3704 0044 0532 0130 00 today",
+              "a,number=4711,today"]
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    clean = by_id(pii.redact(frame))
+    assert [clean[i]["text"] for i in (30, 31, 32)] == [
+        "at number [ID] today", "at number [ID] today", "a,number=[ID],today"]
+
+
 def bootstrap_fixture() -> list[tuple]:
     seeds = [(i, f"river stone reach me at number u{i}@mail{i}.org today please",
               None, None, None) for i in range(30)]
