@@ -9,6 +9,8 @@ nothing is shuffled.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,12 +25,13 @@ gpl      | 1 | general  | general public license
 reserved | 2 | reserved | all rights reserved
 """
 
-# label | tier (0 full name with version or notice, 1 name, 2 hint) | keyword | regex
-# over words. The order of the lines is the priority among equal intervals.
+# label | tier (0 full name with version or notice, 1 name, 2 hint) | keywords, one of
+# which every match holds as a word (* for the start of one) | regex over words; before a
+# number, "( version)?" also stands for " v2", " version v2" and a v joined to the name. The order of the lines is the priority among equal intervals.
 SIGNATURES = """
-apache-2.0 | 0 | apache | (licensed under the )?apache license,? version 2( 0)?
-apache-2.0 | 0 | apache | apache( software)? licen[cs]e 2( 0)?
-apache-2.0 | 0 | apache | apache 2( 0)? licen[cs]e
+apache-2.0 | 0 | apache | (licensed under the )?apache license( version)? 2( 0)?
+apache-2.0 | 0 | apache | apache( software)? licen[cs]e( version)? 2( 0)?
+apache-2.0 | 0 | apache* | apache( version)? 2( 0)? licen[cs]e
 apache-2.0 | 0 | apache | apache org licenses license 2 0
 apache-1.1 | 0 | apache | apache( software)? licen[cs]e( version)? 1 1
 apache-1.0 | 0 | apache | apache( software)? licen[cs]e( version)? 1 0
@@ -41,7 +44,7 @@ x11 | 0 | x11 | x11 licen[cs]e
 expat | 0 | expat | expat licen[cs]e
 isc | 0 | isc | (the )?isc licen[cs]e
 isc | 0 | permission | permission to use copy modify and or distribute this software for any purpose
-0bsd | 0 | bsd | (zero clause bsd|0bsd|bsd zero clause)( licen[cs]e)?
+0bsd | 0 | bsd/0bsd | (zero clause bsd|0bsd|bsd zero clause)( licen[cs]e)?
 bsd-2-clause | 0 | bsd | (2|two) clause( simplified)? bsd( licen[cs]e)?
 bsd-2-clause | 0 | bsd | bsd 2 clause( simplified)?( licen[cs]e)?
 bsd-2-clause | 0 | bsd | simplified bsd licen[cs]e
@@ -59,13 +62,13 @@ unlicense | 0 | unencumbered | this is free and unencumbered software released i
 wtfpl | 0 | wtfpl | wtfpl
 wtfpl | 0 | fuck | do what the fuck you want to public license
 zlib | 0 | zlib | zlib( libpng)? licen[cs]e
-libpng | 0 | libpng | libpng licen[cs]e( version 2)?
+libpng | 0 | libpng | libpng licen[cs]e( version)?( 2)?
 boost-1.0 | 0 | boost | boost software licen[cs]e( version)?( 1 0)?
 artistic-1.0 | 0 | artistic | (clarified )?artistic licen[cs]e( version)? 1 0
 artistic-2.0 | 0 | artistic | artistic licen[cs]e( version)? 2 0
 artistic | 1 | artistic | artistic licen[cs]e
 perl | 0 | perl | same terms as perl itself
-python-2.0 | 0 | python | (python|psf) licen[cs]e( version)? 2
+python-2.0 | 0 | python/psf | (python|psf) licen[cs]e( version)? 2
 python | 1 | python | python( software foundation)? licen[cs]e
 ruby | 1 | ruby | ruby licen[cs]e
 php-3.01 | 0 | php | php licen[cs]e( version)? 3 01
@@ -76,7 +79,7 @@ openssl | 0 | openssl | developed by the openssl project
 ssleay | 0 | ssleay | (original )?ssleay licen[cs]e
 postgresql | 0 | postgresql | postgresql licen[cs]e
 sleepycat | 0 | sleepycat | sleepycat licen[cs]e
-beerware | 0 | beer | beer ?ware licen[cs]e
+beerware | 0 | beer/beerware | beer ?ware licen[cs]e
 vim | 0 | vim | vim licen[cs]e
 curl | 0 | curl | curl licen[cs]e
 ijg | 0 | independent | independent jpeg group
@@ -88,12 +91,12 @@ ofl-1.1 | 0 | sil | sil open font licen[cs]e( version)?( 1 1)?
 ofl | 1 | font | open font licen[cs]e
 bitstream-vera | 0 | bitstream | bitstream vera
 ubuntu-font | 0 | ubuntu | ubuntu font licen[cs]e
-odbl-1.0 | 0 | database | open (data commons open )?database licen[cs]e( v?1 0)?
-odc-by-1.0 | 0 | commons | open data commons attribution licen[cs]e( v?1 0)?
-pddl-1.0 | 0 | commons | (open data commons )?public domain dedication and licen[cs]e
-ogl-3.0 | 0 | government | open government licen[cs]e( v3 0| version 3 0)?
-etalab-2.0 | 0 | etalab | etalab( open licen[cs]e)?( 2 0)?
-cecill-2.1 | 0 | cecill | cecill( version)? 2 1
+odbl-1.0 | 0 | database | open (data commons open )?database licen[cs]e( version)?( 1 0)?
+odc-by-1.0 | 0 | commons | open data commons attribution licen[cs]e( version)?( 1 0)?
+pddl-1.0 | 0 | dedication | (open data commons )?public domain dedication and licen[cs]e
+ogl-3.0 | 0 | government | open government licen[cs]e( version)?( 3 0)?
+etalab-2.0 | 0 | etalab* | etalab( open licen[cs]e)?( version)?( 2 0)?
+cecill-2.1 | 0 | cecill* | cecill( version)? 2 1
 cecill-b | 0 | cecill | cecill b
 cecill-c | 0 | cecill | cecill c
 cecill | 1 | cecill | cecill
@@ -116,7 +119,7 @@ cddl | 1 | cddl | cddl
 epl-2.0 | 0 | eclipse | eclipse public licen[cs]e( version| v)? 2( 0)?
 epl-1.0 | 0 | eclipse | eclipse public licen[cs]e( version| v)? 1( 0)?
 epl | 1 | eclipse | eclipse public licen[cs]e
-edl-1.0 | 0 | eclipse | eclipse distribution licen[cs]e( v)?( 1 0)?
+edl-1.0 | 0 | eclipse | eclipse distribution licen[cs]e( version)?( 1 0)?
 mpl-2.0 | 0 | mozilla | mozilla public licen[cs]e( version| v)? 2( 0)?
 mpl-1.1 | 0 | mozilla | mozilla public licen[cs]e( version| v)? 1 1
 mpl-1.0 | 0 | mozilla | mozilla public licen[cs]e( version| v)? 1 0
@@ -143,17 +146,17 @@ nasa-1.3 | 0 | nasa | nasa open source agreement( version)?( 1 3)?
 rpl-1.5 | 0 | reciprocal | reciprocal public licen[cs]e( version)?( 1 5)?
 sun-sissl | 0 | sun | sun industry standards source licen[cs]e
 watcom-1.0 | 0 | watcom | (sybase )?open watcom public licen[cs]e
-mulan-psl-2.0 | 0 | mulan | mulan (permissive|psl)( software)?( licen[cs]e)?( v?2)?
+mulan-psl-2.0 | 0 | mulan | mulan (permissive|psl)( software)?( licen[cs]e)?( version)?( 2)?
 hpnd | 0 | historical | historical permission notice and disclaimer
 ntp | 0 | ntp | ntp licen[cs]e
 public-domain | 0 | domain | (released|placed|dedicated) (in|into|to) the public domain
 public-domain | 1 | domain | public domain
-free-art-1.3 | 0 | art | free art licen[cs]e( 1 3)?
+free-art-1.3 | 0 | art | free art licen[cs]e( version)?( 1 3)?
 oracle-bcl | 0 | oracle | oracle binary code licen[cs]e
 proprietary | 0 | proprietary | proprietary and confidential
 proprietary | 1 | proprietary | proprietary (licen[cs]e|software|information)
 commercial | 1 | commercial | commercial licen[cs]e
-noncommercial | 1 | commercial | (for |only for )?non ?commercial use only
+noncommercial | 1 | commercial/noncommercial | (for |only for )?non ?commercial use only
 no-redistribution | 1 | redistribute | (may|must) not redistribute
 no-warranty | 2 | warranty | without warranty of any kind
 no-warranty | 2 | warranty | without any warranty
@@ -171,7 +174,7 @@ GNU = (("agpl", "affero", "(gnu )?affero general public licen[cs]e"),
        ("lgpl", "library", "(gnu )?library general public licen[cs]e"),
        ("gfdl", "documentation", "(gnu )?free documentation licen[cs]e"),
        ("gpl", "general", "(gnu )?general public licen[cs]e"),
-       ("agpl", "agpl", "agpl"), ("lgpl", "lgpl", "lgpl"), ("gpl", "gpl", "gpl"))
+       ("agpl", "agpl*", "agpl"), ("lgpl", "lgpl*", "lgpl"), ("gpl", "gpl*", "gpl"))
 GNU_VERSIONS = ("1", "1 1", "1 2", "1 3", "2", "2 1", "3")
 CC = ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd")
 CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
@@ -179,6 +182,21 @@ CC_WORDS = {"by": "attribution", "sa": "share ?alike", "nd": "no ?deriv(ative)?s
             "nc": "non ?commercial"}
 
 
+# What may stand between a name and its version: a space, " v", " version ", a joined v.
+BETWEEN = r"(?: version| ver)?(?: ?v ?| ?)"
+
+
+def versioned(regex: str) -> str:
+    """The regex with all ways to write a version where it says ``( version)?``."""
+    regex = re.sub(r"\( version(?:\| v)?\)\?\( (?=\d)", lambda _: f"({BETWEEN}", regex)
+    return re.sub(r"\( version(?:\| v)?\)\? (?=\d)", lambda _: BETWEEN, regex)
+
+
+def terms(keyword: str) -> list[str]:
+    """What a rule's keywords look like in a normalised text."""
+    return [f" {w[:-1]}" if w.endswith("*") else f" {w} " for w in keyword.split("/")]
+
+
 def signatures() -> list[dict]:
     """All rules in priority order: the listed ones, the families with their versions, and
     the base phrases."""
@@ -190,7 +208,8 @@ def signatures() -> list[dict]:
     for label, keyword, name in GNU:
         for v in GNU_VERSIONS:
             number = v.replace(" ", ".")
-            head = f"{name}( version| v)?,? {v}"
+            zero = "" if " " in v else "( 0)?"
+            head = f"{name}( version)? {v}{zero}"
             rows.append((f"{label}-{number}-or-later", "0", keyword,
                          f"{head}( of the licen[cs]e)? or (at your option )?any later version",
                          False))
@@ -201,16 +220,17 @@ def signatures() -> list[dict]:
         words = " ".join(CC_WORDS[k] for k in kind.split())
         name = kind.replace(" ", "-")
         for v in CC_VERSIONS:
-            rows.append((f"cc-{name}-{v.replace(' ', '.')}", "0", "cc", f"cc {kind} {v}", False))
+            rows.append((f"cc-{name}-{v.replace(' ', '.')}", "0", "cc", f"cc {kind}( version)? {v}", False))
             rows.append((f"cc-{name}-{v.replace(' ', '.')}", "0", "commons",
-                         f"creative commons {words} {v}", False))
+                         f"creative commons {words}( licen[cs]e)?( version)? {v}",
+                         False))
         if kind != "by":
             rows.append((f"cc-{name}", "1", "cc", f"cc {kind}", False))
         rows.append((f"cc-{name}", "1", "commons", f"creative commons {words}", False))
     rows += [("cc0-1.0", "0", "cc0", "cc0( 1 0)?( universal)?", False),
              ("creative-commons", "2", "commons", "creative commons", False)]
     return [{"label": label, "tier": int(tier), "keyword": keyword, "base": base, "rank": i,
-             "regex": f"(?<= )(?:{regex.replace(',?', '')})(?= )"}
+             "regex": f"(?<= )(?:{versioned(regex)})(?= )"}
             for i, (label, tier, keyword, regex, base) in enumerate(rows + read(BASE, True))]
 
 
@@ -241,8 +261,10 @@ def detections(rules: list[dict]) -> Column:
     """All detections of the row's ``norm``: first word, minus the word after the last,
     tier, rank, label, base, in sort order."""
     words = sorted({r["keyword"] for r in rules})
-    hits = F.filter(F.array(*[F.lit(w) for w in words]),
-                    lambda k: F.contains(F.col("norm"), F.concat(F.lit(" "), k, F.lit(" "))))
+    keyed = F.array(*[F.struct(F.lit(w).alias("key"), F.array(*[F.lit(t) for t in terms(w)])
+                               .alias("terms")) for w in words])
+    hits = F.transform(F.filter(keyed, lambda k: F.exists(
+        k["terms"], lambda t: F.contains(F.col("norm"), t))), lambda k: k["key"])
     live = F.filter(_rule_array(rules), lambda r: F.array_contains(F.col("hits"), r["keyword"])
                     & F.rlike(F.col("norm"), r["regex"]))
 

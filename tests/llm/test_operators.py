@@ -197,6 +197,61 @@ def test_license_rules(spark):
         re.compile(rule["regex"])
 
 
+def example(tree, rng) -> str:
+    """A random string that a parsed regex matches."""
+    out = ""
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            out += "x" if str(arg[0][0]) == "NEGATE" else chr(
+                arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0])
+        elif name in ("ANY", "NOT_LITERAL"):
+            out += "x"
+        elif name == "BRANCH":
+            out += example(rng.choice(arg[1]), rng)
+        elif name == "SUBPATTERN":
+            out += example(arg[3], rng)
+        elif name == "MAX_REPEAT":
+            out += "".join(example(arg[2], rng) for _ in range(
+                rng.randint(arg[0], min(arg[1], arg[0] + 1))))
+        else:
+            assert name == "ASSERT", name
+    return out
+
+
+def test_every_rule_passes_its_prefilter(spark):
+    rng, rows = random.Random(5), []
+    for rule in licenses.RULES:
+        for k in range(40):
+            text = f" {example(re._parser.parse(rule['regex']), rng)} "
+            assert re.search(rule["regex"], text), (rule, text)
+            assert any(t in text for t in licenses.terms(rule["keyword"])), (rule, text)
+            if k == 0:
+                rows.append((rule["rank"], text.strip()))
+    hits, found = licenses.detections(licenses.RULES)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id", licenses.normalised().alias("norm")).withColumn("hits", hits)
+    got = frame.select("doc_id", F.transform(found, lambda d: d["rank"]).alias("ranks")).collect()
+    assert len(got) == len(licenses.RULES) and all(r["doc_id"] in r["ranks"] for r in got)
+
+
+def test_license_versions_and_fused_names(spark):
+    cases = {"Mozilla Public License v2.0": "mpl-2.0", "Apache License v2.0": "apache-2.0",
+             "Apache License, Version v2": "apache-2.0", "under GPLv3": "gpl-3",
+             "LGPLv2.1": "lgpl-2.1", "gpl3": "gpl-3", "AGPL v3.0": "agpl-3",
+             "GNU General Public License v2": "gpl,gpl-2", "beerware license": "beerware",
+             "0BSD license": "0bsd", "noncommercial use only": "noncommercial",
+             "PSF License Version 2": "python-2.0", "EUPL": "",
+             "public domain dedication and license": "pddl-1.0", "CECILLv2.1": "cecill-2.1",
+             "CC BY-SA v4.0": "cc-by,cc-by-sa-4.0"}
+    frame = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = by_id(licenses.scan(frame))
+    assert {t: got[i]["labels"] for i, t in enumerate(cases)} == {
+        t: ",".join(sorted(w.split(","))) for t, w in cases.items()}
+
+
 # 4 -----------------------------------------------------------------------------------
 
 def slow_print(text):
