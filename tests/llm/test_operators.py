@@ -160,6 +160,20 @@ def test_conversations(spark):
     assert quotes.link_conversations(frame.limit(0)).count() == 0
 
 
+def test_common_lines_do_not_join_conversations(spark):
+    long = "the harbour is closed until the ice has gone"
+    rows = [(i, 0, "user", "Thanks\nHello there") for i in range(1, 21)]
+    rows += [(30, 0, "user", long), (31, 0, "user", f"> {long}\n> Thanks\nIs it?"),
+             (32, 0, "user", "> Thanks\nYou are welcome"), (33, 0, "user", "> hello there\nHi"),
+             (34, 0, "user", "Thanks"), (34, 1, "assistant", "> thanks\nSure")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): r for r in quotes.link_conversations(frame).collect()}
+    assert got[31, 0]["thread_id"] == 30 and got[31, 0]["reply_conv"] == 30
+    for conv in (32, 33):
+        assert got[conv, 0]["thread_id"] == conv and not got[conv, 0]["quote_linked"]
+    assert got[34, 1]["quote_linked"] and got[34, 1]["reply_conv"] == 34
+
+
 # 3 -----------------------------------------------------------------------------------
 
 def license_row(text):
