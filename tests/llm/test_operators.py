@@ -72,8 +72,9 @@ def test_statement(spark, name):
     assert differences(QUERIES[name](spark, SF_DIR), duck(SF_DIR), STATEMENTS[name]) == []
 
 
-def test_ten_queries():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+def test_one_query_for_each_operator():
+    numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES]
+    assert sorted(numbers) == list(range(1, len(numbers) + 1))
 
 
 def test_slices():
