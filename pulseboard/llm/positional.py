@@ -66,14 +66,21 @@ def encode_deltas(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-def decode_places(data: bytes) -> np.ndarray:
-    """The places of one posting list."""
+def decode_values(data: bytes) -> np.ndarray:
+    """The values that :func:`encode_deltas` made bytes of."""
     raw = np.frombuffer(data, np.uint8)
+    if not len(raw):
+        return np.zeros(0, np.int64)
     last = raw < 128
     first = np.concatenate([[0], np.flatnonzero(last)[:-1] + 1])
     number = np.cumsum(np.concatenate([[0], last[:-1]]))
     shift = 7 * (np.arange(len(raw)) - first[number])
-    return np.cumsum(np.add.reduceat((raw & 127).astype(np.int64) << shift, first))
+    return np.add.reduceat((raw & 127).astype(np.int64) << shift, first)
+
+
+def decode_places(data: bytes) -> np.ndarray:
+    """The places of one posting list."""
+    return np.cumsum(decode_values(data))
 
 
 class _Segment:

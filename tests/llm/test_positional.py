@@ -67,7 +67,7 @@ def planted():
     return docs, items
 
 
-@pytest.mark.parametrize("segment, block, parts", [(1 << 20, 16384, 1), (50, 7, 3)])
+@pytest.mark.parametrize("segment, block, parts", [(1 << 20, 16384, 1), (400, 50, 3)])
 def test_against_brute_force(spark, planted, monkeypatch, segment, block, parts):
     docs, items = planted
     frame = spark.createDataFrame(docs, DOCS).withColumn("term", F.lit("x")).withColumn(
