@@ -33,4 +33,5 @@ def statements() -> dict[str, str]:
     for twin in ("dedupe_latest_agg", "stream_dedupe_latest"):
         bodies[twin] = bodies["dedupe_latest_window"]
     bodies["ops_refresh"] = bodies["gold_health"]
+    bodies["ops_refresh_incremental"] = "SELECT * EXCLUDE (last_synced_at) FROM g_health"
     return {name: compose(body, RELATIONS) for name, body in bodies.items()}

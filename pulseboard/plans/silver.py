@@ -24,6 +24,23 @@ UNKNOWN = "Unknown"
 CANCELLED = "cancelled"
 MIN_DOCUMENT_CHARS = 20
 
+# Key of each record family, and the columns that settle equal extraction times.
+VERSIONS = {
+    "accounts": ("account_id", ("account_name", "arr")),
+    "use_cases": ("uco_id", ("last_modified_date", "stage")),
+    "emails": ("message_id", ("received_date", "is_unread")),
+    "meetings": ("event_id", ("start_time", "status")),
+    "chat": ("message_ts", ("channel_id", "reply_count")),
+    "tasks": ("task_id", ("title", "due_date")),
+    "documents": ("file_id", ("modified_time",)),
+}
+
+
+def _latest(raw: DataFrame, family: str, newest: bool = False) -> DataFrame:
+    """The newest version of each key; ``newest`` says that ``raw`` holds nothing else."""
+    key, tie_by = VERSIONS[family]
+    return raw if newest else latest_per_key(raw, key, tie_by=tie_by)
+
 
 def _or(name: str, default: object) -> Column:
     return F.coalesce(F.col(name), F.lit(default)).alias(name)
@@ -41,8 +58,8 @@ def with_tier(facts: DataFrame, accounts: DataFrame) -> DataFrame:
     return facts.join(tiers, "account_name", "left")
 
 
-def accounts(raw: DataFrame) -> DataFrame:
-    latest = latest_per_key(raw, "account_id", tie_by=("account_name", "arr"))
+def accounts(raw: DataFrame, newest: bool = False) -> DataFrame:
+    latest = _latest(raw, "accounts", newest)
     return latest.where(F.col("account_id").isNotNull() & F.col("account_name").isNotNull()).select(
         "account_id", "account_name",
         F.coalesce("type", F.lit(UNKNOWN)).alias("account_type"),
@@ -55,8 +72,8 @@ def accounts(raw: DataFrame) -> DataFrame:
         F.col("_extracted_at").alias("last_synced_at"))
 
 
-def use_cases(raw: DataFrame, as_of: datetime) -> DataFrame:
-    latest = latest_per_key(raw, "uco_id", tie_by=("last_modified_date", "stage"))
+def use_cases(raw: DataFrame, as_of: datetime, newest: bool = False) -> DataFrame:
+    latest = _latest(raw, "use_cases", newest)
     due = F.coalesce("go_live_date", "estimated_project_go_live")
     return latest.where(F.col("uco_id").isNotNull()).select(
         "uco_id", "account_id", "account_name", "uco_name",
@@ -70,8 +87,8 @@ def use_cases(raw: DataFrame, as_of: datetime) -> DataFrame:
         F.col("_extracted_at").alias("last_synced_at"))
 
 
-def emails_core(raw: DataFrame, as_of: datetime) -> DataFrame:
-    latest = latest_per_key(raw, "message_id", tie_by=("received_date", "is_unread"))
+def emails_core(raw: DataFrame, as_of: datetime, newest: bool = False) -> DataFrame:
+    latest = _latest(raw, "emails", newest)
     received = F.col("received_date")
     return latest.where(F.col("message_id").isNotNull()).select(
         "message_id", "thread_id", "account_name", "from_email", "from_name", "to_emails",
@@ -90,8 +107,8 @@ def emails(raw: DataFrame, accounts: DataFrame, as_of: datetime) -> DataFrame:
         "last_synced_at")
 
 
-def calendar_core(raw: DataFrame, as_of: datetime) -> DataFrame:
-    latest = latest_per_key(raw, "event_id", tie_by=("start_time", "status"))
+def calendar_core(raw: DataFrame, as_of: datetime, newest: bool = False) -> DataFrame:
+    latest = _latest(raw, "meetings", newest)
     start = F.col("start_time")
     return latest.where(F.col("event_id").isNotNull() & (F.col("status") != CANCELLED)).select(
         "event_id", "account_name", "event_title", "description", "location", "start_time",
@@ -110,9 +127,9 @@ def calendar(raw: DataFrame, accounts: DataFrame, as_of: datetime) -> DataFrame:
         "last_synced_at")
 
 
-def chat_core(raw: DataFrame, as_of: datetime) -> DataFrame:
+def chat_core(raw: DataFrame, as_of: datetime, newest: bool = False) -> DataFrame:
     """The key is the message time alone, without the channel."""
-    latest = latest_per_key(raw, "message_ts", tie_by=("channel_id", "reply_count"))
+    latest = _latest(raw, "chat", newest)
     return latest.where(F.col("message_ts").isNotNull() & ~is_blank(F.col("message_text"))).select(
         "message_ts", "channel_id", "channel_name", "account_name", "user_id", "message_text",
         "sent_at", age_days(as_of, F.col("sent_at")).alias("days_since_sent"),
@@ -129,6 +146,10 @@ def chat(raw: DataFrame, accounts: DataFrame, as_of: datetime) -> DataFrame:
         "reactions", "reaction_count", "engagement_level", "last_synced_at")
 
 
+def open_tasks(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col("status") != COMPLETED)
+
+
 def tasks(raw: DataFrame, as_of: datetime) -> DataFrame:
     """Open tasks with their parent's title.
 
@@ -137,8 +158,8 @@ def tasks(raw: DataFrame, as_of: datetime) -> DataFrame:
     taken as delivered: a parent delivered twice doubles its children. Root tasks
     would all meet on the one empty parent id, so each joins on a key of its own.
     """
-    still_open = raw.where(F.col("status") != COMPLETED)
-    latest = latest_per_key(still_open, "task_id", tie_by=("title", "due_date"))
+    still_open = open_tasks(raw)
+    latest = _latest(still_open, "tasks")
     is_root = F.coalesce("parent_task_id", F.lit("")) == ""
     parents = still_open.where(is_root).select(
         F.col("task_id").alias("_parent"), F.col("title").alias("parent_title"),
@@ -159,12 +180,15 @@ def tasks(raw: DataFrame, as_of: datetime) -> DataFrame:
         "updated", "_extracted_at")
 
 
-def documents(raw: DataFrame) -> DataFrame:
+def long_documents(raw: DataFrame) -> DataFrame:
+    return raw.where(F.length(F.trim("content")) > MIN_DOCUMENT_CHARS)
+
+
+def documents(raw: DataFrame, newest: bool = False) -> DataFrame:
     """Latest version among those with enough text.
 
     The length filter comes before the choice, so an older long version
     outlives a newer short one.
     """
-    long_enough = raw.where(F.length(F.trim("content")) > MIN_DOCUMENT_CHARS)
-    return latest_per_key(long_enough, "file_id", tie_by=("modified_time",)).select(
+    return _latest(long_documents(raw), "documents", newest).select(
         "file_id", "file_name", "account_name", "modified_time", "content", "_extracted_at")
