@@ -23,9 +23,26 @@ OPERATIONS = {
     "snk_clustered_scan": """
 SELECT account_name, count(*) AS mails, min(received_date) AS first_received,
     max(received_date) AS last_received FROM s_emails GROUP BY account_name""",
-    "ops_run_log": " UNION ALL ".join(
-        f"SELECT '{name[3:]}' AS source, 'SUCCESS' AS status, count(*) AS rows_ingested FROM {name}"
-        for name in BRONZE),
+    "ops_run_log": " UNION ALL ".join([
+        *[f"SELECT '{name[3:]}' AS source, 'SUCCESS' AS status, count(*) AS rows_ingested, "
+          f"0::BIGINT AS rows_rejected FROM {name}" for name in BRONZE],
+        *[f"SELECT 'calendar_{route}' AS source, 'SUCCESS' AS status, "
+          f"count(*) AS rows_ingested, count(*) FILTER (event_id % 29 IN (0, 1, 2)) "
+          f"AS rows_rejected FROM p_events" for route in ("batch", "stream")]]),
+    "ops_quarantine": f"""
+SELECT source, id AS named_id, {RUN} AS landed_at
+FROM p_events, (VALUES ('calendar_batch'), ('calendar_stream')) routes(source)
+WHERE event_id % 29 IN (0, 1, 2)""",
+    "snk_curve_scan": f"""
+SELECT account_name, count(*) AS mails, max(received_date) AS last_received FROM s_emails
+WHERE received_date BETWEEN {RUN} - to_days(7) AND {RUN} GROUP BY account_name""",
+    "stream_late_rows": f"""
+SELECT 'emails' AS source, count(*) AS rows_ingested, 0::BIGINT AS rows_late FROM in_emails
+WHERE _extracted_at = {RUN}
+UNION ALL
+SELECT 'emails', count(*), count(*) FILTER (message_id IN (
+    SELECT message_id FROM in_emails WHERE _extracted_at = {RUN}))
+FROM in_emails WHERE _extracted_at < {RUN}""",
     "ops_row_counts": " UNION ALL ".join(
         [f"SELECT '{name}' AS table_name, count(*) AS rows FROM {host}"
          for name, (host, _) in _LEGACY.items()]

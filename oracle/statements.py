@@ -30,8 +30,10 @@ DATASETS = {
 
 def statements() -> dict[str, str]:
     bodies = {**DATASETS, **REPORTS, **RECORDS, **OPERATIONS}
-    for twin in ("dedupe_latest_agg", "stream_dedupe_latest"):
+    for twin in ("dedupe_latest_agg", "stream_dedupe_latest", "stream_dedupe_exact"):
         bodies[twin] = bodies["dedupe_latest_window"]
+    bodies["stream_history_log"] = bodies["stream_email_append"]
+    bodies["src_calendar_landed"] = bodies["src_calendar_snapshot"]
     bodies["ops_refresh"] = bodies["gold_health"]
     bodies["ops_refresh_incremental"] = "SELECT * EXCLUDE (last_synced_at) FROM g_health"
     return {name: compose(body, RELATIONS) for name, body in bodies.items()}

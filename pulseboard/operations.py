@@ -18,11 +18,13 @@ from pulseboard.hosts.payloads import KEYWORDS, LABELS, OWN_ADDRESS
 from pulseboard.operators import quality
 from pulseboard.plans import incremental, legacy, silver
 from pulseboard.plans.refresh import SOURCES, refresh
-from pulseboard.schemas import ACCOUNTS, CHAT, CHAT_MESSAGE, EMAILS, LEGACY, MAIL_MESSAGE
+from pulseboard.schemas import (ACCOUNTS, CALENDAR_EVENT, CHAT, CHAT_MESSAGE, EMAILS, LEGACY,
+                                MAIL_MESSAGE)
 from pulseboard.session import scratch_path
-from pulseboard.sources import chat, landing, sinks
+from pulseboard.sources import calendar, chat, landing, layout, sinks
 from pulseboard.sources import mail as mail_source
-from pulseboard.streaming import history
+from pulseboard.sources.versions import Versioned
+from pulseboard.streaming import history, ledger
 
 
 # ---- batch sinks ---------------------------------------------------------------
@@ -42,6 +44,17 @@ def snk_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(accounts.schema).parquet(path)
 
 
+def snk_curve_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails laid out along the curve over account and time; a week is read, by time alone,
+    from the files that can hold it, and summarised per account."""
+    path = scratch_path(spark, "curve")
+    emails = Inputs(spark, sf_dir).emails
+    layout.write_curve(emails, path, "account_name", "received_date", files=64)
+    week = {"received_date": (AS_OF - timedelta(days=7), AS_OF)}
+    return layout.read_within(spark, path, emails.schema, week).groupBy("account_name").agg(
+        F.count("*").alias("mails"), F.max("received_date").alias("last_received"))
+
+
 def snk_clustered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mails laid out by account and time, then summarised per account."""
     path = scratch_path(spark, "clustered")
@@ -94,8 +107,39 @@ def bronze_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_run_log(spark, f"{out}/run_log")
 
 
+def _landed_events(spark: SparkSession, sf_dir: str) -> tuple[list[str], str]:
+    """Calendar documents, some broken, landed as a batch and as a stream of two files."""
+    base = scratch_path(spark, "landed")
+    lines = payloads.calendar_lines(spark, sf_dir)
+    sinks.write_landed(landing.parsed(lines, "doc", CALENDAR_EVENT), "calendar_batch",
+                       f"{base}/batch", f"{base}/run_log", AS_OF)
+    lines.repartition(2).write.parquet(f"{base}/landing")
+    history.land_batches(history.read_landing(spark, f"{base}/landing", lines.schema), "doc",
+                         CALENDAR_EVENT, "calendar_stream", f"{base}/stream",
+                         f"{base}/checkpoint", f"{base}/run_log", AS_OF)
+    return [f"{base}/batch", f"{base}/stream/batch=0"], f"{base}/run_log"
+
+
+def ops_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that could not be read, of both routes, by the id that their text names."""
+    paths, _ = _landed_events(spark, sf_dir)
+    return sinks.read_quarantine(spark, *paths).select(
+        "source", F.regexp_extract("record", '"id":"([0-9]+)"', 1).alias("named_id"),
+        "landed_at")
+
+
+def src_calendar_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar snapshot over landed documents of which some are broken: only these are lost."""
+    paths, _ = _landed_events(spark, sf_dir)
+    return joined_arrays(calendar.calendar_snapshot(
+        sinks.read_landed(spark, CALENDAR_EVENT, paths[0]), KEYWORDS, AS_OF))
+
+
 def ops_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_run_log(spark, sf_dir).select("source", "status", "rows_ingested")
+    """One line per write: bronze tables, and documents landed by both routes."""
+    _, log = _landed_events(spark, sf_dir)
+    return bronze_run_log(spark, sf_dir).unionByName(sinks.read_run_log(spark, log)).select(
+        "source", "status", "rows_ingested", "rows_rejected")
 
 
 # ---- the older tables ------------------------------------------------------------
@@ -154,6 +198,23 @@ def stream_email_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined_arrays(history.read_history(spark, path, EMAILS))
 
 
+def stream_history_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two mail runs behind a commit log: a full run, an incremental one that goes on
+    with it, and the merging of both runs' folders."""
+    base, yesterday = scratch_path(spark, "ledger"), AS_OF - timedelta(days=1)
+    table = Versioned(spark, f"{base}/history")
+    runs = ((ledger.run_full, yesterday, None, yesterday),
+            (ledger.run_incremental, AS_OF, AS_OF - timedelta(days=2), None))
+    for number, (run, run_time, since, until) in enumerate(runs):
+        payloads.mail_messages(spark, sf_dir, since and now(since), until and now(until)).write.mode(
+            "append").parquet(f"{base}/landing/run={number}")
+        run(history.read_landing(spark, f"{base}/landing", MAIL_MESSAGE),
+            lambda batch, at=run_time: mail_source.emails_incremental(
+                batch, LABELS, OWN_ADDRESS, at), table)
+    ledger.compact(table, EMAILS, small=1 << 20, target=1 << 20)
+    return joined_arrays(ledger.read(spark, table.base, EMAILS))
+
+
 def stream_chat_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily chat runs; the second day re-delivers one day of the first."""
     yesterday = AS_OF - timedelta(days=1)
@@ -186,6 +247,33 @@ def stream_dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "message_id", "is_unread", "received_date", "_extracted_at")
 
 
+def _newest_stream(spark: SparkSession, sf_dir: str) -> tuple[Versioned, str]:
+    """Re-extracted mails come first, all others with the second run, partly late."""
+    emails, base = bronze.emails(spark, sf_dir), scratch_path(spark, "newest")
+    table = Versioned(spark, f"{base}/state")
+
+    def run(landed: str, _path: str, checkpoint: str, _number: int) -> None:
+        history.keep_newest(history.read_landing(spark, landed, EMAILS), table,
+                            incremental.FAMILIES["emails"], "emails", checkpoint,
+                            f"{base}/run_log", buckets=16)
+
+    again = F.col("_extracted_at") == now(AS_OF)
+    _two_runs(spark, "exact", emails.where(again), emails.where(~again), run)
+    return table, f"{base}/run_log"
+
+
+def stream_dedupe_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest version of each mail, kept by the stream itself in a keyed table."""
+    table, _ = _newest_stream(spark, sf_dir)
+    return table.read(EMAILS).select("message_id", "is_unread", "received_date", "_extracted_at")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the run log says of both runs: rows merged, and rows that came late."""
+    _, log = _newest_stream(spark, sf_dir)
+    return sinks.read_run_log(spark, log).select("source", "rows_ingested", "rows_late")
+
+
 def stream_dedupe_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat messages in two overlapping deliveries, de-duplicated by state."""
     messages = bronze.chat(spark, sf_dir)
@@ -206,14 +294,20 @@ OPERATIONS: dict[str, Query] = {
     "src_staging_scan": src_staging_scan,
     "snk_snapshot_roundtrip": snk_snapshot_roundtrip,
     "snk_clustered_scan": snk_clustered_scan,
+    "snk_curve_scan": snk_curve_scan,
     "ops_refresh": ops_refresh,
     "ops_refresh_incremental": ops_refresh_incremental,
     "ops_run_log": ops_run_log,
+    "ops_quarantine": ops_quarantine,
+    "src_calendar_landed": src_calendar_landed,
     "view_legacy_activity": view_legacy_activity,
     "dq_not_null_keys": dq_not_null_keys,
     "ops_row_counts": ops_row_counts,
     "stream_email_append": stream_email_append,
+    "stream_history_log": stream_history_log,
     "stream_chat_append": stream_chat_append,
     "stream_dedupe_latest": stream_dedupe_latest,
+    "stream_dedupe_exact": stream_dedupe_exact,
+    "stream_late_rows": stream_late_rows,
     "stream_dedupe_watermark": stream_dedupe_watermark,
 }

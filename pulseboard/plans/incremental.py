@@ -53,9 +53,10 @@ class Merge:
     """What one run did to one state."""
 
     version: int | None
-    fresh_rows: int
+    fresh_rows: int  # newest of each key among what was delivered
     touched: int
     buckets: int
+    late: int = 0  # of these, older than the version kept
 
 
 def _newest(rows: DataFrame, family: Family) -> DataFrame:
@@ -64,9 +65,11 @@ def _newest(rows: DataFrame, family: Family) -> DataFrame:
     return latest_per_key(rows, family.key, tie_by=family.tie_by)
 
 
-def merge(table: Versioned, raw: DataFrame, family: Family, buckets: int = BUCKETS) -> Merge:
+def merge(table: Versioned, raw: DataFrame, family: Family, buckets: int = BUCKETS,
+          whole: bool = False, late_to: str | None = None) -> Merge:
     """Bring the state up to date with ``raw``, of which only rows newer than the last merge
-    are read (rows of one extraction time are delivered together).
+    are read (rows of one extraction time are delivered together), or all if it is ``whole``
+    new. Rows older than the version kept go to the folder ``late_to``, if one is named.
 
     Equal to choosing the newest versions among all rows ever delivered, as the order of
     versions is total. A key delivered very many times is reduced before it is shuffled.
@@ -77,7 +80,8 @@ def merge(table: Versioned, raw: DataFrame, family: Family, buckets: int = BUCKE
     if listed is not None:
         head = listed.agg(F.max("mark").alias("mark"), F.max("of").alias("of")).first()
         buckets = head["of"]  # fixed by the first run
-        raw = raw.where(F.col("_extracted_at") > F.lit(head["mark"]))
+        if not whole:
+            raw = raw.where(F.col("_extracted_at") > F.lit(head["mark"]))
     bucket = F.pmod(F.xxhash64(family.key), F.lit(buckets)).cast("int").alias("bucket")
     staged = f"{table.base}/{table.new_folder('fresh')}"
     (_newest(family.eligible(raw.select(*family.schema.names)), family).select("*", bucket)
@@ -90,13 +94,22 @@ def merge(table: Versioned, raw: DataFrame, family: Family, buckets: int = BUCKE
         return Merge(last, 0, 0, buckets)
     touched = [r["bucket"] for r in counted]  # at most ``buckets`` numbers
     rows = fresh.select(*family.schema.names)
+    late = 0
     if listed is not None:
         kept = table.read(family.schema, listed.where(F.col("bucket").isin(touched)))
+        if late_to is not None:  # keys are unique on both sides
+            newer = kept.select(F.col(family.key).alias("_key"), F.col(
+                "_extracted_at").alias("_kept_at"))
+            rows.join(newer, F.col(family.key).eqNullSafe(F.col("_key"))).where(
+                "_extracted_at < _kept_at").select(*family.schema.names).write.mode(
+                "overwrite").parquet(f"{table.base}/{late_to}")
+            late = table.spark.read.schema(family.schema).parquet(
+                f"{table.base}/{late_to}").count()
         rows = _newest(rows.unionByName(kept), family)
     folder = table.new_folder()
     (rows.select("*", bucket).repartition(len(touched), "bucket")
      .write.partitionBy("bucket").parquet(f"{table.base}/{folder}"))
-    mark = max(r["mark"] for r in counted)
+    mark = max([r["mark"] for r in counted] + ([] if listed is None else [head["mark"]]))
     pieces = table.spark.createDataFrame(
         [(f"{folder}/bucket={b}", b, buckets) for b in touched],
         f"{PIECE} string, bucket int, of int")
@@ -104,7 +117,7 @@ def merge(table: Versioned, raw: DataFrame, family: Family, buckets: int = BUCKE
         pieces = pieces.unionByName(listed.where(~F.col("bucket").isin(touched)).drop("mark"))
     version = table.commit(pieces.withColumn("mark", F.lit(mark)), last)
     remove(table.spark, staged)
-    return Merge(version, sum(r["n"] for r in counted), len(touched), buckets)
+    return Merge(version, sum(r["n"] for r in counted), len(touched), buckets, late)
 
 
 def state(spark: SparkSession, base: str, name: str) -> Versioned:

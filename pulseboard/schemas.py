@@ -65,7 +65,10 @@ DOCUMENTS = struct(
 
 RUN_LOG = struct(
     **texts("run_id source status"), rows_ingested=LONG, run_at=TIME, duration_sec=REAL,
-    error_detail=TEXT)
+    error_detail=TEXT, rows_rejected=LONG, rows_late=LONG)
+
+# Records that could not be read, beside the tables they were landed for.
+QUARANTINE = struct(source=TEXT, record=TEXT, landed_at=TIME)
 
 # ---- raw payloads as landed (JSON) ----------------------------------------
 CRM_ACCOUNT = struct(

@@ -9,10 +9,10 @@ version is refused.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -20,10 +20,21 @@ from pyspark.sql.types import StructType
 PIECE = "piece"  # folder of a piece, below the table's own
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder, in whatever file system the path names."""
+    system, target = _located(spark, path)
+    return system.exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of whatever file system the path names."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _located(spark, path)
+    system.delete(target, True)
 
 
 class Conflict(Exception):
@@ -39,15 +50,14 @@ class Versioned:
     base: str
 
     def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.option("basePath", f"{self.base}/commits").parquet(
-                f"{self.base}/commits")
-        except AnalysisException:  # nothing committed yet
-            return None
+        folder = f"{self.base}/commits"
+        return self.spark.read.parquet(folder) if exists(self.spark, folder) else None
 
     def current(self) -> int | None:
+        """Number of the newest version, from the names of the commit files alone."""
         commits = self._commits()
-        return None if commits is None else commits.agg(F.max("version")).first()[0]
+        names = [] if commits is None else commits.inputFiles()
+        return max((int(re.search(r"/version=(\d+)/", n)[1]) for n in names), default=None)
 
     def pieces(self, version: int | None = None) -> DataFrame | None:
         """The list of one version, the newest if none is named; None before the first."""
