@@ -68,74 +68,100 @@ def match_labels(labels: Column, accounts: Mapping[str, str]) -> Column:
     return F.array_min(label_hits(labels, accounts))["account"]
 
 
-def _grams(text: Column, width: int) -> Column:
-    """Distinct substrings of ``width`` characters.
+STEP = 4  # characters to the first level of the trie; each further one is four times as deep
+
+
+def _levels(longest: int) -> list[int]:
+    """Depths of the trie: 4, 16, 64 and so on, as long as a keyword reaches them."""
+    depths = [STEP]
+    while depths[-1] <= longest:
+        depths.append(depths[-1] * 4)
+    return depths[:-1]
 
-    ``substring`` by position would rescan the text for every gram, and so would
-    a split inside the inner lambda; the outer one holds the characters, which
-    keeps this linear.
-    """
-    def grams(chars: Column) -> Column:
-        count = F.size(chars) - F.lit(width - 1)
 
-        def gram(i: Column) -> Column:
-            return F.concat(*[F.get(chars, i + F.lit(k - 1)) for k in range(width)])
+def _windows(texts: DataFrame, key: str, text: str, reach: int) -> DataFrame:
+    """(key, window, lead, own): texts cut into windows, so that finding the characters at a
+    position never scans a long text. A window has ``own`` positions of its own, behind the
+    ``lead`` characters before them, and goes on ``reach`` characters further."""
+    size = max(64, reach)
+    parts = F.regexp_extract_all(F.lower(F.col(text)), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 
-        return F.when(count >= 1, F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.greatest(count, F.lit(1))), gram))).otherwise(
-            F.array().cast("array<string>"))
+    def window(i: Column) -> Column:
+        def part(k: int) -> Column:
+            return F.coalesce(F.get("_parts", i + k), F.lit(""))
+        return F.struct(
+            F.concat(F.right(part(-1), F.lit(1)), part(0), F.left(part(1), F.lit(reach))).alias(
+                "window"),
+            F.when(i > 0, 1).otherwise(0).alias("lead"), F.length(part(0)).alias("own"))
 
-    return F.get(F.transform(F.array(F.split(text, "")), grams), F.lit(0))
+    cut = texts.select(key, parts.alias("_parts")).where(F.size("_parts") > 0)
+    return cut.select(key, F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("_parts") - 1), window)).alias("_w")).select(
+        key, "_w.window", "_w.lead", "_w.own")
 
 
 def _first_hits(texts: DataFrame, key: str, text: str, dictionary: DataFrame,
-                gram_width: int) -> DataFrame:
+                word_boundary: bool = False) -> DataFrame:
     """(key, account) of the texts that hold a keyword; ``key`` is unique in ``texts``."""
     words = dictionary.select(
         "ord", "account", F.lower("keyword").alias("_word")).where(F.length("_word") > 0)
-    lowered = texts.select(F.col(key), F.lower(F.col(text)).alias("_text"))
-    grams = lowered.select(key, F.explode(F.array_distinct(F.flatten(F.array(
-        *[_grams(F.col("_text"), w) for w in range(1, gram_width + 1)])))).alias("_gram"))
-    # a keyword goes by the one of its grams that the fewest texts hold
-    own = F.when(F.length("_word") < gram_width, F.array("_word")).otherwise(
-        _grams(F.col("_word"), gram_width))
-    held = grams.groupBy("_gram").count()
-    keyed = (words.select("_word").distinct().select("_word", F.explode(own).alias("_gram"))
-             .join(held, "_gram", "left").groupBy("_word")
-             .agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "_gram")).alias("_r"))
-             .where("_r.n > 0").select("_word", "_r._gram"))
-    candidates = (grams.join(words.join(keyed, "_word"), "_gram")
-                  .select(key, "ord", "account", "_word").join(lowered, key))
-    return (candidates.where(F.col("_text").contains(F.col("_word")))
+    # at most as many numbers as the longest keyword has characters
+    lengths = sorted(r[0] for r in words.select(F.length("_word")).distinct().collect())
+    if not lengths:
+        return texts.select(key, F.lit(None).cast("string").alias("account")).where("false")
+    levels = _levels(lengths[-1])
+    rows = _windows(texts, key, text, lengths[-1] + 1).select(
+        key, "window", F.explode(F.sequence(F.col("lead") + 1, F.col("lead") + F.col("own"))).alias(
+            "at"))
+
+    def letters(n: int | Column) -> Column:
+        return F.substr("window", F.col("at"), F.lit(n) if isinstance(n, int) else n)
+
+    short = [n for n in lengths if n < STEP]
+    tried = [F.array(*[F.lit(n) for n in short]).cast("array<int>")]
+    for depth, deeper in zip(levels, [*levels[1:], lengths[-1] + 1]):
+        node = f"_node{depth}"
+        nodes = words.where(F.length("_word") >= depth).select(
+            F.left("_word", F.lit(depth)).alias(node)).distinct()
+        # without shorter keywords, a position that leaves the trie at once is gone
+        gone = depth == STEP and not short
+        rows = rows.join(nodes, letters(depth) == F.col(node), "inner" if gone else "left")
+        tried.append(F.when(F.col(node).isNotNull(), F.array(*[
+            F.lit(n) for n in lengths if depth <= n < deeper]).cast("array<int>")))
+    none = F.array().cast("array<int>")
+    rows = rows.select(key, "window", "at", F.explode(F.flatten(F.array(
+        *[F.coalesce(t, none) for t in tried]))).alias("n"))
+    if word_boundary:
+        before = F.when(F.col("at") > 1, F.substr("window", F.col("at") - 1, F.lit(1)))
+        after = F.substr("window", F.col("at") + F.col("n"), F.lit(1))
+        rows = rows.where(~F.coalesce(before, F.lit("")).rlike(r"\w") & ~after.rlike(r"\w"))
+    return (rows.select(key, letters(F.col("n")).alias("_word")).join(words, "_word")
             .groupBy(key).agg(F.min(F.struct("ord", "account")).alias("_best"))
             .select(key, F.col("_best.account").alias("account")))
 
 
 def match_keywords_join(texts: DataFrame, key: str, text: str, dictionary: DataFrame,
-                        gram_width: int = 3) -> DataFrame:
+                        word_boundary: bool = False) -> DataFrame:
     """First-match lookup against a dictionary *table* ``(ord, account, keyword)``.
 
-    A plain "contains" join has no equality, so it would compare every text
-    with every keyword. Here both sides meet on a short gram instead: one gram
-    of the keyword, the one that the fewest texts hold, must be one of the
-    text's, and the candidate is then verified. A keyword shorter than the gram
-    is its own gram, so nothing is missed; one with a gram that no text holds
-    goes at once.
+    A plain "contains" join has no equality, so it would compare every text with every
+    keyword. Here the keywords are a trie whose nodes are prefixes of 4, 16, 64 and so on
+    characters: every position of a text walks down it, one equality join a level, and as far
+    as it comes, it meets the keywords of these lengths by equality. So keywords that share a
+    beginning cost a position no more than one, and nothing has to be verified.
 
-    Grams travel with the text's key only (a text must not travel once per
-    gram), and the candidates fetch their text by key. Whether the dictionary is
-    broadcast is Spark's own size check; grams shared by many texts are split by
-    adaptive execution. Counts and the best match per text are found by partial
-    aggregation.
+    Whether a level is broadcast is Spark's own size check; where it is, positions never
+    leave their task. Substrings inside words count unless ``word_boundary`` is set. The best
+    match of a text is found by partial aggregation.
 
     Returns ``texts`` plus ``account`` (NULL when nothing matches); ``key``
     must be unique in ``texts``.
     """
-    return texts.join(_first_hits(texts, key, text, dictionary, gram_width), key, "left")
+    return texts.join(_first_hits(texts, key, text, dictionary, word_boundary), key, "left")
 
 
 def with_account(df: DataFrame, text: Column, dictionary: Dictionary | DataFrame,
-                 account: str = "account_name") -> DataFrame:
+                 account: str = "account_name", word_boundary: bool = False) -> DataFrame:
     """Adds the account that ``text`` names, NULL if none does.
 
     An inline dictionary is a row-level expression. With a table, each distinct
@@ -143,11 +169,11 @@ def with_account(df: DataFrame, text: Column, dictionary: Dictionary | DataFrame
     rows need no key of their own.
     """
     if not isinstance(dictionary, DataFrame):
-        return df.withColumn(account, match_keywords(text, dictionary))
+        return df.withColumn(account, match_keywords(text, dictionary, word_boundary))
     keyed = df.withColumn("_digest", F.sha2(text, 256))
     texts = (df.select(F.sha2(text, 256).alias("_digest"), text.alias("_named"))
              .where(F.col("_named") != "").dropDuplicates(["_digest"]))
-    hits = _first_hits(texts, "_digest", "_named", dictionary, 3).select(
+    hits = _first_hits(texts, "_digest", "_named", dictionary, word_boundary).select(
         "_digest", F.col("account").alias(account))
     return keyed.join(hits, "_digest", "left").drop("_digest")
 

@@ -1,6 +1,7 @@
 """Dedupe, matching, tree walk and checks."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,23 +78,49 @@ def test_large_dictionaries(spark):
                   "array<string>") == ["A3"]
 
 
-def test_gram_join_equals_brute_force(spark):
+@pytest.mark.parametrize("word_boundary", [False, True])
+@pytest.mark.parametrize("sizes", [(1, 5), (4, 40), (1, 90)])
+def test_trie_join_equals_brute_force(spark, word_boundary, sizes):
     rng = random.Random(7)
-    texts = [(i, "".join(rng.choice("abcD é") for _ in range(rng.randint(0, 30)))) for i in range(300)]
-    texts += [(1000, None), (1001, "")]
-    words = [(i, f"acc{i}", "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 5))))
-             for i in range(60)] + [(99, "blank", "")]
+
+    def letters(alphabet, low, high):
+        return "".join(rng.choice(alphabet) for _ in range(rng.randint(low, high)))
+
+    words = [(i, f"acc{i % 40}", letters("abcdé", *sizes)) for i in range(60)]
+    words += [(99, "blank", ""), (100, "tie", words[7][2]), (101, "dot", "a.b"),
+              (102, "wide", "𝔘b" * 3), (103, "shared", "abcdabcdabcd"),
+              (104, "shared too", "abcdabcdabcdé")]
+    texts = [letters("abcD é_", 0, 30) for _ in range(200)]
+    for _, _, word in words * 2:  # inside longer texts, at their ends, across windows
+        at = rng.randint(0, 300)
+        texts.append(letters("xyz é", at, at) + rng.choice(["", " "]) + word.upper()
+                     + rng.choice(["", ".", "q ", "é", "𝔘"]) + letters("xy z", 0, 200))
+    rows = [*enumerate(texts), (9000, None), (9001, "")]
     got = matching.match_keywords_join(
-        spark.createDataFrame(texts, "id int, t string"), "id", "t",
-        spark.createDataFrame(words, "ord int, account string, keyword string"))
+        spark.createDataFrame(rows, "id int, t string"), "id", "t",
+        spark.createDataFrame(words, "ord int, account string, keyword string"),
+        word_boundary=word_boundary)
+
+    def holds(text, word):
+        if word_boundary:
+            return re.search(rf"(?<!\w){re.escape(word)}(?!\w)", text, re.ASCII)
+        return word in text
 
     def brute(text):
-        return next((a for _, a, w in words if w and text and w.lower() in text.lower()), None)
-    assert {r["id"]: r["account"] for r in got.collect()} == {i: brute(t) for i, t in texts}
+        return next((a for _, a, w in words if w and text and holds(text.lower(), w.lower())),
+                    None)
+    assert {r["id"]: r["account"] for r in got.collect()} == {i: brute(t) for i, t in rows}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_trie_join_of_an_empty_dictionary(spark):
+    rows = spark.createDataFrame([(1, "text")], "id int, t string")
+    none = spark.createDataFrame([], "ord int, account string, keyword string")
+    assert [tuple(r) for r in matching.match_keywords_join(rows, "id", "t", none).collect()] == [
+        (1, "text", None)]
+
+
 # ---- tree ---------------------------------------------------------------------
 def test_closure_with_deep_chain_cycle_and_detached(spark):
     chain = [("n0", "root")] + [(f"n{i}", f"n{i - 1}") for i in range(1, 40)]
