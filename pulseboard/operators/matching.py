@@ -68,14 +68,14 @@ def match_labels(labels: Column, accounts: Mapping[str, str]) -> Column:
     return F.array_min(label_hits(labels, accounts))["account"]
 
 
-STEP = 4  # characters to the first level of the trie; each further one is four times as deep
+STEP = 4  # characters to the first level of the trie; each further one is twice as deep
 
 
 def _levels(longest: int) -> list[int]:
-    """Depths of the trie: 4, 16, 64 and so on, as long as a keyword reaches them."""
+    """Depths of the trie: 4, 8, 16 and so on, as long as a keyword reaches them."""
     depths = [STEP]
     while depths[-1] <= longest:
-        depths.append(depths[-1] * 4)
+        depths.append(depths[-1] * 2)
     return depths[:-1]
 
 
@@ -145,7 +145,7 @@ def match_keywords_join(texts: DataFrame, key: str, text: str, dictionary: DataF
     """First-match lookup against a dictionary *table* ``(ord, account, keyword)``.
 
     A plain "contains" join has no equality, so it would compare every text with every
-    keyword. Here the keywords are a trie whose nodes are prefixes of 4, 16, 64 and so on
+    keyword. Here the keywords are a trie whose nodes are prefixes of 4, 8, 16 and so on
     characters: every position of a text walks down it, one equality join a level, and as far
     as it comes, it meets the keywords of these lengths by equality. So keywords that share a
     beginning cost a position no more than one, and nothing has to be verified.
