@@ -25,12 +25,12 @@ LANDMARKS = 160
 RIDGE = 1e-4
 BATCH_BYTES = 2 << 20  # of text compared at once; a character takes some 50 bytes
 UNKNOWN = "und"
-OUTSIDE = 60  # labelled documents of a language outside the fit, from which comes what
-# share of a text's grams a learned language knows; in all at most OUTSIDE_ROWS
-OUTSIDE_ROWS = 1000
+SPARE = 60  # labelled documents of a language that no model is fitted on, from which comes
+# what share of a text's grams a learned language knows; in all at most SPARE_ROWS
+SPARE_ROWS = 1000
 COMMON = 0.02  # share of a language's fitted documents a gram stands in to be known
 LOW, SLACK = 0.01, 0.75  # a text is unlike below SLACK times this quantile of theirs
-CUT = 0.6  # where no labelled document is outside the fit
+CUT = 0.6  # where no labelled document is spare
 
 
 def letters() -> np.ndarray:
@@ -45,16 +45,15 @@ def letters() -> np.ndarray:
 
 def presence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(texts x DIMS) 0/1 matrix of the grams present, and whether a text has a letter."""
-    codes = np.frombuffer(" ".join(["", *(t or "" for t in texts), ""]).encode("utf-32-le"),
-                          np.uint32)
-    sizes = np.array([len(t or "") + 1 for t in texts] or [0])
-    sizes[0] += 1  # the space before the first
+    codes = np.frombuffer("".join(f" {t or ''} " for t in texts).encode("utf-32-le"), np.uint32)
+    sizes = np.array([len(t or "") + 2 for t in texts], int)  # a space before and behind
     small = letters()[np.minimum(codes, 0xFFFF)]
     far = np.flatnonzero(codes > 0xFFFF)
     small[far] = [ord(c.lower()[0]) if (c := chr(x)).isalpha() else 32
                   for x in codes[far].tolist()]
     doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-    keep = np.append(True, (small[1:] != 32) | (small[:-1] != 32))
+    keep = np.ones(len(small), bool)  # one space of a run, never one of another text
+    keep[1:] = (small[1:] != 32) | (small[:-1] != 32) | (doc[1:] != doc[:-1])
     small, doc = small[keep], doc[keep]
     out = np.zeros((len(texts) + 1, DIMS), np.float32)
     hashes = np.zeros(len(small), np.uint32)
@@ -91,50 +90,64 @@ class Model:
         return grams @ marks.T / np.sqrt(np.maximum(grams.sum(axis=1, keepdims=True), 1))
 
 
-def held_out(doc_id: str | Column = "doc_id") -> Column:
-    key = F.crc32(F.col(doc_id).cast("string").cast("binary"))
-    return F.coalesce(key % 4 == 2, F.lit(False))
+def _fold(doc_id: str) -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary"))
 
 
-def sample(docs: DataFrame, per_language: int, rows: int, outside: bool = False) -> DataFrame:
-    """(doc_id, lang) of the labelled documents to fit on (or of those outside the fit), by
-    hash order; languages take turns, so that each is there. Ids and labels only, texts are
-    not sorted."""
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Documents that nothing is learned from."""
+    return F.coalesce(_fold(doc_id) % 4 == 2, F.lit(False))
+
+
+def spare(doc_id: str = "doc_id") -> Column:
+    """An eighth of the other documents: no model is fitted on them, they calibrate it."""
+    fold = _fold(doc_id)
+    return F.coalesce((fold % 4 != 2) & (F.floor(fold / 4) % 8 == 0), F.lit(False))
+
+
+def learned(doc_id: str = "doc_id") -> Column:
+    return ~held_out(doc_id) & ~spare(doc_id)
+
+
+def sample(docs: DataFrame, per_language: int, rows: int, fold: Column) -> DataFrame:
+    """(doc_id, lang, digest of the text) of the labelled documents to look at, by hash order;
+    languages take turns, so that each is there. Texts are not sorted. A row is known by all
+    three, so where an id stands in several rows, each text keeps its own label."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
-                       & F.col("doc_id").isNotNull() & (held_out() if outside else ~held_out()))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return (known.select("doc_id", "lang").withColumn("turn", F.row_number().over(order))
-            .where(F.col("turn") <= per_language)
-            .orderBy("turn", F.xxhash64("doc_id"), "doc_id", "lang").limit(rows)
-            .select("doc_id", "lang").dropDuplicates(["doc_id"]))
+                       & F.col("doc_id").isNotNull() & fold)
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("digest")]
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    return (known.select("doc_id", "lang", F.md5("text").alias("digest")).distinct()
+            .withColumn("turn", turn).where(F.col("turn") <= per_language)
+            .orderBy("turn", *order, "lang").limit(rows).drop("turn"))
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = TRAIN_ROWS,
-        landmarks: int = LANDMARKS) -> Model:
-    """Fit on at most ``rows`` labelled documents outside the held-out fold; at most
-    OUTSIDE_ROWS of that fold say how unlike a text of a learned language can be. Presence
-    bits are computed where the texts are; only they come to the driver."""
+def labelled_bits(docs: DataFrame, per_language: int, rows: int, fold: Column) -> list:
+    """(lang, presence bits) of such a sample, in a fixed order. Bits are computed where the
+    texts are, and only they come to the driver; texts without a letter have none."""
     docs = docs.select(F.col("doc_id").cast("long"), "text", "lang")
-    chosen = stored(
-        sample(docs, per_language, rows).withColumn("outside", F.lit(0)).unionByName(
-            sample(docs, OUTSIDE, OUTSIDE_ROWS, True).withColumn("outside", F.lit(1))),
-        "language-sample")
+    chosen = stored(sample(docs, per_language, rows, fold), "language-sample")
 
     def step():
         def work(batch):
             grams, seen = presence(batch.column("text").to_pylist())
             bits = np.packbits(grams.astype(np.uint8), axis=1)
-            return {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"),
-                    "outside": batch.column("outside"),
+            return {**{c: batch.column(c) for c in ("doc_id", "lang", "digest")},
                     "bits": [b.tobytes() if s else None for b, s in zip(bits, seen)]}
         return work
 
-    texts = docs.drop("lang").join(chosen, "doc_id")
-    found = (map_batches(texts, step, {"doc_id": "bigint", "lang": "string", "outside": "int",
-                                       "bits": "binary"}, 128, BATCH_BYTES)
-             .where("bits IS NOT NULL").dropDuplicates(["doc_id"])
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows + OUTSIDE_ROWS).collect())
-    others, found = [r for r in found if r["outside"]], [r for r in found if not r["outside"]]
+    texts = docs.withColumn("digest", F.md5("text")).join(chosen, ["doc_id", "lang", "digest"])
+    found = map_batches(texts, step, {"doc_id": "bigint", "lang": "string", "digest": "string",
+                                      "bits": "binary"}, 128, BATCH_BYTES)
+    return (found.where("bits IS NOT NULL").dropDuplicates(["doc_id", "lang", "digest"])
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "digest", "lang").limit(rows)
+            .select("lang", "bits").collect())
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = TRAIN_ROWS,
+        landmarks: int = LANDMARKS) -> Model:
+    """Fit on at most ``rows`` labelled documents, none of them held out or spare."""
+    found = labelled_bits(docs, per_language, rows, learned())
     languages = tuple(sorted({r["lang"] for r in found}))
     if not languages:
         return Model((), np.zeros((0, DIMS // 8), np.uint8), np.zeros((0, 0), np.float32))
@@ -153,12 +166,18 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = TRAIN_ROW
     weights = np.linalg.lstsq(full.T @ full + ridge, full.T @ target, rcond=None)[0]
     known = np.packbits(np.array([grams[target[:, i] > 0].mean(axis=0) >= COMMON
                                   for i in range(len(languages))]), axis=1)
-    model = Model(languages, packed, weights.astype(np.float32), known)
-    others = [r["bits"] for r in others if r["lang"] in languages]
-    if not others:
+    return Model(languages, packed, weights.astype(np.float32), known)
+
+
+def calibrate(docs: DataFrame, model: Model) -> Model:
+    """The model with its ``cut``: how unlike a text of a learned language can be, from at
+    most SPARE_ROWS labelled spare documents. Without any, the cut stays as it was."""
+    found = [r["bits"] for r in labelled_bits(docs, SPARE, SPARE_ROWS, spare())
+             if r["lang"] in model.languages]
+    if not found:
         return model
-    shares = model.share(np.unpackbits(np.frombuffer(b"".join(others), np.uint8)
-                                       .reshape(len(others), -1), axis=1).astype(np.float32))
+    shares = model.share(np.unpackbits(np.frombuffer(b"".join(found), np.uint8)
+                                       .reshape(len(found), -1), axis=1).astype(np.float32))
     return replace(model, cut=SLACK * float(np.quantile(shares, LOW)))
 
 
@@ -198,7 +217,8 @@ def predict(docs: DataFrame, model: Model, columns: dict[str, str] | None = None
 
 def keep(docs: DataFrame, model: Model) -> DataFrame:
     """The documents (columns of the table) in a learned language. A text whose grams are
-    less known in every language than those of labelled documents outside the fit goes."""
+    less known in every language than those of spare labelled documents (if the model was
+    calibrated on such) goes."""
     columns = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string",
                "n_chars": "bigint"}
     return (predict(docs, model, columns)

@@ -353,8 +353,76 @@ def test_language_edges(spark, docs):
     assert langid.predict(docs, model).count() == len(awkward())
     none = langid.fit(empty(spark))
     assert {r["lang_pred"] for r in langid.predict(docs, none).collect()} == {"und"}
-    sampled = {r["doc_id"] for r in langid.sample(labelled, 5, 8).collect()}
-    assert len(sampled) == 8 and all(zlib.crc32(str(i).encode()) % 4 != 2 for i in sampled)
+    sampled = {r["doc_id"] for r in langid.sample(labelled, 5, 8, langid.learned()).collect()}
+    folds = [zlib.crc32(str(i).encode()) for i in sampled]
+    assert len(sampled) == 8 and all(f % 4 != 2 and f // 4 % 8 for f in folds)
+    for fold in (langid.held_out(), langid.spare(), langid.learned()):
+        assert 0 < labelled.where(fold).count() < 60
+
+
+def test_held_out_documents_change_nothing(spark):
+    """Neither fit nor cut looks at the held-out fold; a repeated id keeps each text's label."""
+    rows = [(i, f"the harbour {prose(i, 30)}" if i % 2 else f"größe straße {i} über schön " * 5,
+             "en" if i % 2 else "de") for i in range(200)]
+    rows += [(401, "größe und straße über alles schön", "de"), (401, prose(7, 30), "en")]
+    kind = "doc_id long, text string, lang string"
+    frame = spark.createDataFrame(rows, kind)
+    other = frame.where(~langid.held_out()).unionByName(frame.where(langid.held_out()).select(
+        "doc_id", F.lit("zzz qqq").alias("text"), F.lit("xx").alias("lang")))
+    models = [langid.calibrate(d, langid.fit(d)) for d in (frame, other.repartition(3))]
+    assert models[0].languages == models[1].languages == ("de", "en")
+    assert models[0].cut == models[1].cut != langid.CUT
+    assert np.array_equal(models[0].landmarks, models[1].landmarks)
+    assert np.allclose(models[0].weights, models[1].weights)
+    bits = langid.labelled_bits(frame.where("doc_id = 401"), 9, 9, F.lit(True))
+    want = {lang: np.packbits(langid.presence([text])[0].astype(np.uint8), axis=1)[0].tobytes()
+            for i, text, lang in rows if i == 401}
+    assert {r["lang"]: bytes(r["bits"]) for r in bits} == want
+
+
+def test_kernel_and_ridge_against_a_plain_twin(spark):
+    """Gram sets, kernel and ridge written out over Python sets and a direct solution."""
+    def slots(text):
+        codes = [ord(c.lower()[0]) if c.isalpha() else 32 for c in f" {text} "]
+        codes = [c for k, c in enumerate(codes) if k == 0 or c != 32 or codes[k - 1] != 32]
+        out = set()
+        for n in (1, 2, 3):
+            for at in range(len(codes) - n + 1):
+                h = 0
+                for c in codes[at:at + n]:
+                    h = (h + c) * 0x9E3779B1 % 2 ** 32
+                    h ^= h >> 15
+                out.add((h * 0x85EBCA77 % 2 ** 32) >> 18)
+        return out
+
+    texts = ["The Harbour, at night", "größe über Straße 12", "a", "un été là-bas", "x  y\nz"]
+    grams, _ = langid.presence(texts)
+    assert [set(np.flatnonzero(g)) for g in grams] == [slots(t) for t in texts]
+    rows = [(i, prose(i, 12) if i % 2 else "größe straße über " + prose(i, 3)[::-1],
+             "en" if i % 2 else "de") for i in range(80)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(frame, landmarks=10)
+    marks = [set(np.flatnonzero(np.unpackbits(m))) for m in model.landmarks]
+    fitted = [(slots(t), lang) for i, t, lang in rows
+              if zlib.crc32(str(i).encode()) % 4 != 2 and zlib.crc32(str(i).encode()) // 4 % 8]
+    assert all(any(m == s for s, _ in fitted) for m in marks) and len(marks) == 10
+
+    def k(a, b):
+        return len(a & b) / (len(a) * len(b)) ** 0.5
+
+    full = np.array([[k(s, m) for m in marks] for s, _ in fitted])
+    core = np.array([[k(a, b) for b in marks] for a in marks]) + 1e-6 * np.eye(10)
+    target = np.array([[1.0 if lang == name else -1.0 for name in ("de", "en")]
+                       for _, lang in fitted])
+    weights = np.linalg.solve(full.T @ full + langid.RIDGE * len(fitted) * core,
+                              full.T @ target)
+    asked = [prose(900, 20), "straße und größe", "zebra"]
+    got = by_id(langid.predict(spark.createDataFrame(list(enumerate(asked)),
+                                                     "doc_id long, text string"), model))
+    for i, text in enumerate(asked):
+        outs = np.array([k(slots(text), m) for m in marks]) @ weights
+        assert got[i]["lang_pred"] == ("de", "en")[outs.argmax()]
+        assert abs(got[i]["score"] - min(1, max(0, (outs.max() + 1) / 2))) < 1e-3
 
 
 def test_unlike_texts_go(spark):
@@ -376,7 +444,8 @@ def test_unlike_texts_go(spark):
     short = [" ".join(t.split()[:8]) for t in labelled]
     rows = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(
         unlike + labelled + short)], DOCS)
-    kept = {r["doc_id"] for r in langid.keep(rows, langid.fit(frame)).collect()}
+    kept = {r["doc_id"] for r in langid.keep(rows, langid.calibrate(
+        frame, langid.fit(frame))).collect()}
     assert not kept & set(range(len(unlike)))
     assert len(kept) == len(labelled) + len(short) > 300
 
