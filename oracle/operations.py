@@ -46,7 +46,19 @@ FROM in_emails WHERE _extracted_at < {RUN}""",
     "ops_row_counts": " UNION ALL ".join(
         [f"SELECT '{name}' AS table_name, count(*) AS rows FROM {host}"
          for name, (host, _) in _LEGACY.items()]
-        + [f"SELECT 'ingestion_run_log' AS table_name, {len(BRONZE)}::BIGINT AS rows"]),
+        + ["SELECT 'ingestion_run_log' AS table_name, 2::BIGINT AS rows"]),
+    "dq_constraints": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{check}' AS \"check\", '{column}' AS column_name, "
+        f"count(*) AS rows, ({failures})::BIGINT AS failures FROM {host}"
+        for name, (host, key) in _LEGACY.items() for check, column, failures in [
+            ("not null", key, f"count(*) FILTER ({key} IS NULL)"),
+            ("not null", "account_name", "count(*) FILTER (account_name IS NULL)"),
+            ("unique", key, f"count({key}) - count(DISTINCT {key})"),
+            *([] if name == "sf_accounts" else [(
+                "reference", "account_id" if name == "sf_use_cases" else "account_name",
+                "count(*) FILTER (account_id NOT IN (SELECT account_id FROM in_accounts))"
+                if name == "sf_use_cases" else "count(*) FILTER (account_name NOT IN "
+                "(SELECT account_name FROM in_accounts))")])]),
     "dq_not_null_keys": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, '{key}' AS column_name, count(*) AS rows, "
         f"count(*) FILTER ({key} IS NULL) AS null_rows FROM {host}"

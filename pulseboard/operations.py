@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,9 +166,24 @@ def dq_not_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, df in legacy_tables(spark, sf_dir).items()})
 
 
+def dq_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and references of the older tables: facts name an account, use cases have one."""
+    tables = legacy_tables(spark, sf_dir)
+    accounts = tables["sf_accounts"]
+    parts = []
+    for name, df in tables.items():
+        key, = quality.declared_keys(LEGACY[name])
+        refers = {"sf_accounts": (), "sf_use_cases": (("account_id", accounts, "account_id"),)}
+        parts.append(quality.constraint_failures(name, df, quality.Constraints(
+            (key, "account_name"), key,
+            refers.get(name, (("account_name", accounts, "account_name"),)))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def ops_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, log = _landed_events(spark, sf_dir)
     return quality.row_counts({**legacy_tables(spark, sf_dir),
-                               "ingestion_run_log": bronze_run_log(spark, sf_dir)})
+                               "ingestion_run_log": sinks.read_run_log(spark, log)})
 
 
 # ---- streams -----------------------------------------------------------------------
@@ -302,6 +318,7 @@ OPERATIONS: dict[str, Query] = {
     "src_calendar_landed": src_calendar_landed,
     "view_legacy_activity": view_legacy_activity,
     "dq_not_null_keys": dq_not_null_keys,
+    "dq_constraints": dq_constraints,
     "ops_row_counts": ops_row_counts,
     "stream_email_append": stream_email_append,
     "stream_history_log": stream_history_log,

@@ -104,14 +104,6 @@ def tiered_activity(core: DataFrame, accounts: DataFrame) -> DataFrame:
     return with_tier(core, accounts).select(*TIMELINE)
 
 
-def without_tier(facts: DataFrame, key: str) -> DataFrame:
-    """Core facts from stored silver facts: one row per id again.
-
-    The tier join repeats a fact for every account of its name.
-    """
-    return facts.drop("arr_tier").dropDuplicates([key])
-
-
 def use_case_counts(use_cases: DataFrame) -> DataFrame:
     def staged(group: tuple[str, ...]) -> Column:
         return F.count_if(F.col("stage").isin(*group))

@@ -143,9 +143,9 @@ def tables(spark: SparkSession, base: str, as_of: datetime) -> dict[str, DataFra
     chat = silver.chat_core(rows["chat"], as_of, newest=True)
     return {
         "accounts": accounts, "use_cases": use_cases,
-        "emails": silver.with_tier(emails, accounts),
-        "calendar": silver.with_tier(meetings, accounts),
-        "chat": silver.with_tier(chat, accounts),
+        "emails": silver.tiered("emails", emails, accounts),
+        "calendar": silver.tiered("calendar", meetings, accounts),
+        "chat": silver.tiered("chat", chat, accounts),
         "tasks": silver.tasks(rows["tasks"], as_of),
         "documents": silver.documents(rows["documents"], newest=True),
         "activity": gold.tiered_activity(gold.activity(emails, meetings, chat, as_of), accounts),

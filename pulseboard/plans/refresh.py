@@ -17,6 +17,8 @@ from pulseboard.sources.sinks import write_clustered
 
 SOURCES = ("accounts", "use_cases", "emails", "meetings", "chat", "tasks", "documents")
 
+FACTS = ("emails", "calendar", "chat")
+
 # Tables of a refresh with the columns they are laid out by.
 TABLES = {
     "accounts": ("account_id",),
@@ -32,7 +34,12 @@ TABLES = {
 
 
 def refresh(raw: Mapping[str, DataFrame], path: str, as_of: datetime) -> dict[str, DataFrame]:
-    """Write all tables below ``path`` and return them as read back."""
+    """Write all tables below ``path`` and return them as read back.
+
+    Mails, meetings and chat are written as core facts, one row per id, which is what the
+    counts need; the tier of an account is joined once to the written timeline, and to the
+    facts as they are read.
+    """
     spark = raw["accounts"].sparkSession
     tables: dict[str, DataFrame] = {}
 
@@ -44,13 +51,13 @@ def refresh(raw: Mapping[str, DataFrame], path: str, as_of: datetime) -> dict[st
 
     accounts = keep("accounts", silver.accounts(raw["accounts"]))
     use_cases = keep("use_cases", silver.use_cases(raw["use_cases"], as_of))
-    emails = keep("emails", silver.emails(raw["emails"], accounts, as_of))
-    meetings = keep("calendar", silver.calendar(raw["meetings"], accounts, as_of))
-    chat = keep("chat", silver.chat(raw["chat"], accounts, as_of))
+    emails = keep("emails", silver.emails_core(raw["emails"], as_of))
+    meetings = keep("calendar", silver.calendar_core(raw["meetings"], as_of))
+    chat = keep("chat", silver.chat_core(raw["chat"], as_of))
     keep("tasks", silver.tasks(raw["tasks"], as_of))
     keep("documents", silver.documents(raw["documents"]))
-    keep("activity", gold.activity(emails, meetings, chat, as_of))
-    keep("health", gold.health(accounts, use_cases, *(
-        gold.without_tier(facts, key) for facts, key in (
-            (emails, "message_id"), (meetings, "event_id"), (chat, "message_ts")))))
+    keep("activity", gold.tiered_activity(gold.activity(emails, meetings, chat, as_of), accounts))
+    keep("health", gold.health(accounts, use_cases, emails, meetings, chat))
+    for name in FACTS:
+        tables[name] = silver.tiered(name, tables[name], accounts)
     return tables

@@ -203,7 +203,8 @@ def meeting_prep(meetings: DataFrame, accounts: DataFrame, use_cases: DataFrame,
             .select("account_name", "event_title", "meeting_date", "duration_minutes",
                     "attendees", "arr_tier", "arr", "active_ucos", "stale_ucos",
                     F.coalesce("pending_emails", F.lit(0)).alias("pending_emails"))
-            .orderBy("meeting_date", "account_name", "event_title"))
+            .orderBy("meeting_date", "account_name", "event_title", "duration_minutes",
+                     "attendees", "arr_tier", "arr"))
 
 
 # ---- chat -------------------------------------------------------------------
@@ -296,6 +297,7 @@ def health_exec(health: DataFrame) -> DataFrame:
 
 def attention(health: DataFrame, below: int = ATTENTION_BELOW) -> DataFrame:
     silent = (F.col("meetings_this_week") == 0) & (F.col("slack_messages_14d") == 0)
+    # The reason texts, the first that holds.
     reason = (F.when(F.col("stale_ucos") > 0, "Stale UCOs need update")
               .when(F.col("urgent_emails") > 0, "Overdue email responses")
               .when(F.col("total_ucos") == 0, "No active use cases")

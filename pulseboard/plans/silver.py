@@ -58,6 +58,30 @@ def with_tier(facts: DataFrame, accounts: DataFrame) -> DataFrame:
     return facts.join(tiers, "account_name", "left")
 
 
+# Columns of the facts with the tier.
+TIERED = {
+    "emails": (
+        "message_id", "thread_id", "account_name", "arr_tier", "from_email", "from_name",
+        "to_emails", "cc_emails", "subject", "body_snippet", "received_date", "is_unread",
+        "needs_response", "has_attachment", "days_since_received", "action_status",
+        "last_synced_at"),
+    "calendar": (
+        "event_id", "account_name", "arr_tier", "event_title", "description", "location",
+        "start_time", "end_time", "duration_minutes", "event_day_of_week", "timing_label",
+        "attendees", "attendee_count", "video_link", "status", "organizer_email", "html_link",
+        "last_synced_at"),
+    "chat": (
+        "message_ts", "channel_id", "channel_name", "account_name", "arr_tier", "user_id",
+        "message_text", "sent_at", "days_since_sent", "thread_ts", "is_reply", "reply_count",
+        "reactions", "reaction_count", "engagement_level", "last_synced_at"),
+}
+
+
+def tiered(name: str, core: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Core facts with the tier of their account."""
+    return with_tier(core, accounts).select(*TIERED[name])
+
+
 def accounts(raw: DataFrame, newest: bool = False) -> DataFrame:
     latest = _latest(raw, "accounts", newest)
     return latest.where(F.col("account_id").isNotNull() & F.col("account_name").isNotNull()).select(
@@ -100,11 +124,7 @@ def emails_core(raw: DataFrame, as_of: datetime, newest: bool = False) -> DataFr
 
 
 def emails(raw: DataFrame, accounts: DataFrame, as_of: datetime) -> DataFrame:
-    return with_tier(emails_core(raw, as_of), accounts).select(
-        "message_id", "thread_id", "account_name", "arr_tier", "from_email", "from_name",
-        "to_emails", "cc_emails", "subject", "body_snippet", "received_date", "is_unread",
-        "needs_response", "has_attachment", "days_since_received", "action_status",
-        "last_synced_at")
+    return tiered("emails", emails_core(raw, as_of), accounts)
 
 
 def calendar_core(raw: DataFrame, as_of: datetime, newest: bool = False) -> DataFrame:
@@ -120,11 +140,7 @@ def calendar_core(raw: DataFrame, as_of: datetime, newest: bool = False) -> Data
 
 
 def calendar(raw: DataFrame, accounts: DataFrame, as_of: datetime) -> DataFrame:
-    return with_tier(calendar_core(raw, as_of), accounts).select(
-        "event_id", "account_name", "arr_tier", "event_title", "description", "location",
-        "start_time", "end_time", "duration_minutes", "event_day_of_week", "timing_label",
-        "attendees", "attendee_count", "video_link", "status", "organizer_email", "html_link",
-        "last_synced_at")
+    return tiered("calendar", calendar_core(raw, as_of), accounts)
 
 
 def chat_core(raw: DataFrame, as_of: datetime, newest: bool = False) -> DataFrame:
@@ -140,10 +156,7 @@ def chat_core(raw: DataFrame, as_of: datetime, newest: bool = False) -> DataFram
 
 
 def chat(raw: DataFrame, accounts: DataFrame, as_of: datetime) -> DataFrame:
-    return with_tier(chat_core(raw, as_of), accounts).select(
-        "message_ts", "channel_id", "channel_name", "account_name", "arr_tier", "user_id",
-        "message_text", "sent_at", "days_since_sent", "thread_ts", "is_reply", "reply_count",
-        "reactions", "reaction_count", "engagement_level", "last_synced_at")
+    return tiered("chat", chat_core(raw, as_of), accounts)
 
 
 def open_tasks(raw: DataFrame) -> DataFrame:

@@ -156,3 +156,32 @@ def test_declared_schemas(spark):
     assert quality.declared_keys(LEGACY_EMAILS) == ["message_id"]
     with pytest.raises(ValueError):
         quality.require_schema(spark.createDataFrame([(1,)], "message_id int"), EMAILS)
+
+
+def test_constraints_in_one_scan(spark):
+    kind = "k string, a string, b string"
+    rows = [("1", "x", "p"), ("1", None, "q"), (None, "x", None), (None, None, "gone"),
+            ("2", "y", "gone"), ("2", "y", "gone"), ("2", None, "p"), ("3", "z", None)]
+    other = spark.createDataFrame([("p",), ("q",), ("q",), (None,)], "name string")
+    declared = quality.Constraints(("k", "a"), "k", (("b", other, "name"),))
+
+    def found(df, what):
+        return {(r["check"], r["column_name"]): (r["rows"], r["failures"])
+                for r in quality.constraint_failures("t", df, what).collect()}
+
+    df = spark.createDataFrame(rows, kind)
+    assert found(df, declared) == {
+        ("not null", "k"): (8, 2), ("not null", "a"): (8, 3), ("reference", "b"): (8, 3),
+        ("unique", "k"): (8, 3)}
+    assert found(df, quality.Constraints(("b",))) == {("not null", "b"): (8, 2)}
+    assert set(found(df.where("false"), declared).values()) == {(0, 0)}
+
+
+def test_constraints_scan_a_table_once(spark, tmp_path):
+    spark.range(50).selectExpr("string(id) k", "string(id % 7) a").write.parquet(
+        f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    other = spark.createDataFrame([("1",)], "name string")
+    out = quality.constraint_failures("t", table, quality.Constraints(
+        ("k", "a"), "k", (("a", other, "name"),)))
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
