@@ -67,9 +67,17 @@ def mail_messages(spark: SparkSession, sf_dir: str, since: Column | None = None,
               .when(key % 4 == 1, address)
               .when(key % 4 == 2, _say(name, " <", address, ">"))
               .otherwise(_say("<", address, ">")))
-    date = F.when(key % 37 == 0, "not a date").otherwise(_say(
-        F.date_format(F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(2)),
-                      "EEE, dd MMM yyyy HH:mm:ss"), " +0200"))
+
+    def stamp(form: str, hours: int, zone: str) -> Column:
+        local = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(hours))
+        return _say(F.date_format(local, form), " ", zone)
+
+    date = (F.when(key % 37 == 0, "not a date")
+            .when(key % 41 == 1, stamp("EEE, dd MMM yyyy HH:mm:ss", -5, "EST"))
+            .when(key % 41 == 2, stamp("EEE, d MMM yyyy HH:mm:ss", -7, "PDT"))
+            .when(key % 41 == 3, stamp("dd MMM yyyy HH:mm:ss", 0, "GMT"))
+            .when(key % 41 == 4, stamp("EEE, d MMM yy HH:mm:ss", 0, "+0000 (UTC)"))
+            .otherwise(stamp("EEE, dd MMM yyyy HH:mm:ss", 2, "+0200")))
     subject = F.when(key % 8 == 0, "Updated Invitation: review").otherwise(
         _say("Question ", _n(key % 5)))
 

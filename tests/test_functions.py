@@ -2,6 +2,7 @@
 
 import base64
 import json
+import time
 from datetime import datetime
 
 from hypothesis import HealthCheck, given, settings
@@ -155,6 +156,16 @@ def _wrapped(depth, tree):
     return tree
 
 
+def test_a_deep_mail_of_many_parts(spark):
+    """10,000 leaves before the text, at a depth that the quick way does not reach."""
+    many = [{"mimeType": "text/html", "body": {"data": "eA"}}] * 10000
+    tree = {"mimeType": "multipart/mixed", "parts": [*many, _leaf("text/plain", "here")]}
+    began = time.monotonic()
+    got = column(spark, [json.dumps(_wrapped(9, tree))],
+                 lambda c: mail.first_plain_text(F.parse_json(c)))
+    assert got == ["here"] and time.monotonic() - began < 60
+
+
 def test_first_plain_text_at_any_depth(spark):
     trees = [_leaf("text/plain", "root"), _nested(1), _nested(5), _nested(6), _nested(7),
              _nested(12), _leaf("text/html", "x"), {"mimeType": "multipart/mixed", "parts": []},
