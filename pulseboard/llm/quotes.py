@@ -18,9 +18,8 @@ from pulseboard.llm.common import map_batches, stored, table
 QUOTE = re.compile(r"[ \t]*((?:>[ \t]?)+)(.*)", re.S)
 INTRO = re.compile(r"[ \t]*(on .{1,200} wrote|.{1,80} (wrote|said|schrieb|a écrit|escribió))"
                    r"[ \t]*:[ \t]*", re.I)
-WORDS = 5  # a passage of fewer words means another conversation only if no second one
-# holds it; a longer one may stand in this many conversations
-CONVERSATIONS = 8
+WORDS = 5  # words that must agree with a message of another conversation, unless no third
+# conversation holds the passage
 SPAN = 1024  # turns of one conversation that are ordered together
 
 PARSED = {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string",
@@ -87,9 +86,14 @@ def links(rows: DataFrame) -> DataFrame:
     """(row, reply_conv, reply_turn) for each message whose quotes are found.
 
     A quote means the latest earlier message of its own conversation with that text, else
-    the first message of an earlier conversation, if few conversations hold it. The least nested quote decides, a whole
-    passage before a line. Messages with a common line never meet in pairs: each side is
-    reduced to one row per hash and conversation, or swept in turn order.
+    the first message of another conversation, smallest conv_id first, however many hold it.
+    Such a message must be backed by evidence: a passage of ``WORDS`` words, or lines of the
+    quote that all stand in it and have as many words together, or a passage that no other
+    conversation holds. The least nested quote decides, a whole passage before a line, then
+    the message that more words of the quote agree with.
+
+    Messages with a common line never meet in pairs: each side is reduced to one row per
+    hash and conversation, or swept in turn order, and of a hash two conversations go on.
     """
     quotes = rows.where("n_quotes > 0").select(
         "row", "conv_id", "turn", F.explode(F.arrays_zip(
@@ -105,32 +109,64 @@ def links(rows: DataFrame) -> DataFrame:
     before = (Window.partitionBy("hash", "conv_id").orderBy("turn")
               .rangeBetween(Window.unboundedPreceding, -1))
     near = sweep.withColumn("near", F.max("unit").over(before)).where("row IS NOT NULL")
-    first = (units.where("conv_id IS NOT NULL").groupBy("hash", "conv_id")
-             .agg(F.min("turn").alias("turn")).groupBy("hash")
-             .agg(F.min(F.struct("conv_id", "turn")).alias("first"), F.count("*").alias("held")))
-    most = F.when(F.col("words") < WORDS, 1).otherwise(CONVERSATIONS)
-    far = (F.col("first.conv_id") < F.col("conv_id")) & (F.col("held") <= most)
-    target = near.join(first, "hash", "left").select(
-        "row", "depth", "part", F.when(F.col("near").isNotNull(), F.struct(
-            F.lit(0).alias("far"), F.col("conv_id").alias("conv"), F.col("near").alias("turn")))
-        .when(far, F.struct(F.lit(1).alias("far"), F.col("first.conv_id").alias("conv"),
-                            F.col("first.turn").alias("turn"))).alias("to")).where("to IS NOT NULL")
-    order = F.struct("depth", "part", F.col("to.far"), -F.col("to.turn"), F.col("to.conv"))
+    holders = units.where("conv_id IS NOT NULL").groupBy("hash", "conv_id").agg(
+        F.min("turn").alias("turn"))
+    rank = F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))
+    two = holders.withColumn("rank", rank).where("rank <= 2").groupBy("hash").agg(
+        F.array_sort(F.collect_list(F.struct("conv_id", "turn"))).alias("two"))
+    held = two.join(holders.groupBy("hash").agg(F.count("*").alias("held")), "hash")
+    both = near.join(held, "hash", "left").withColumn("other", F.get(F.filter(
+        "two", lambda x: ~x["conv_id"].eqNullSafe(F.col("conv_id"))), F.lit(0)))
+    own_too = F.exists("two", lambda x: x["conv_id"].eqNullSafe(F.col("conv_id")))
+    alone = F.col("held") - F.when(own_too, 1).otherwise(0) == 1
+    far = stored(both.where("near IS NULL AND other IS NOT NULL").select(
+        "row", "depth", "part", "words", F.col("other.conv_id").alias("conv"),
+        F.col("other.turn").alias("at"), alone.alias("alone")), "far")
+    lines = quotes.where("part = 1").select("row", "hash", "words").distinct()
+    texts = units.select(F.col("conv_id").alias("conv"), F.col("turn").alias("at"),
+                         "hash").distinct()
+    agreed = (far.select("row", "conv", "at").distinct().join(lines, "row")
+              .join(texts, ["conv", "at", "hash"]).groupBy("row", "conv", "at")
+              .agg(F.sum("words").alias("agreed")))
+    far = far.join(agreed, ["row", "conv", "at"], "left").withColumn(
+        "agreed", F.greatest("words", F.coalesce("agreed", F.lit(0)))).where(
+        F.col("alone") | (F.col("agreed") >= WORDS))
+    target = both.where("near IS NOT NULL").select(
+        "row", "depth", "part", F.struct(
+            F.lit(0).alias("far"), F.lit(0).cast("long").alias("agreed"),
+            F.col("conv_id").alias("conv"), F.col("near").alias("turn")).alias("to")).unionByName(
+        far.select("row", "depth", "part", F.struct(
+            F.lit(1).alias("far"), "agreed", "conv", F.col("at").alias("turn")).alias("to")))
+    order = F.struct("depth", "part", F.col("to.far"), -F.col("to.agreed"), F.when(
+        F.col("to.far") == 0, -F.col("to.turn")).otherwise(F.col("to.conv")), F.col("to.turn"))
     best = target.groupBy("row").agg(F.min_by("to", order).alias("to"))
     return best.select("row", F.col("to.conv").alias("reply_conv"),
                        F.col("to.turn").alias("reply_turn"))
 
 
 def threads(heads: DataFrame) -> DataFrame:
-    """(conv_id, thread_id) of conversations that answer another one. ``heads`` has
-    (conv_id, parent) with parent < conv_id; pointers are doubled until none moves."""
-    now = stored(heads, "threads")
+    """(conv_id, thread_id, depth) of conversations that answer another one. ``heads`` has
+    (conv_id, parent), one row a conversation. Pointers are doubled until none moves; the
+    thread is the conversation at their end, the depth the answers on the way to it.
+
+    Where conversations quote each other in a circle, pointers never rest: the smallest id
+    of each circle is made its root.
+    """
     while True:
-        up = now.select(F.col("conv_id").alias("parent"), F.col("parent").alias("above"))
-        moved = stored(now.join(up, "parent", "left"), "threads")
-        if moved.where("above IS NOT NULL").isEmpty():
-            return moved.select("conv_id", F.col("parent").alias("thread_id"))
-        now = moved.select("conv_id", F.coalesce("above", "parent").alias("parent"))
+        now = stored(heads.select("conv_id", "parent", F.lit(1).cast("long").alias("depth"),
+                                  F.col("conv_id").alias("low")), "threads")
+        for _ in range(now.count().bit_length() + 1):
+            up = now.select(F.col("conv_id").alias("parent"), F.col("parent").alias("above"),
+                            F.col("depth").alias("more"), F.col("low").alias("lower"))
+            moved = stored(now.join(up, "parent", "left"), "threads")
+            if moved.where("above IS NOT NULL").isEmpty():
+                return moved.select("conv_id", F.col("parent").alias("thread_id"), "depth")
+            now = moved.select("conv_id", F.coalesce("above", "parent").alias("parent"), (
+                F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+                F.least("low", "lower").alias("low"))
+        # Each pointer has gone round its circle by now, so it has met the smallest id there.
+        roots = moved.where("above IS NOT NULL").select(F.col("lower").alias("conv_id")).distinct()
+        heads = stored(heads.join(roots, "conv_id", "left_anti"), "threads")
 
 
 def link_conversations(messages: DataFrame) -> DataFrame:
@@ -139,10 +175,11 @@ def link_conversations(messages: DataFrame) -> DataFrame:
 
     A message without a linked quote answers the previous turn of its conversation. A
     conversation whose first message answers another conversation joins its thread; the
-    thread's id is its first conversation. Places follow (conv_id, turn), so an answer
-    comes after what it answers; repeated rows follow each other in any order, a null
-    turn comes first, rows without conv_id are one thread of their own. A null text stays
-    null. Only the four named columns are read.
+    thread's id is the conversation at its root. In a thread, conversations follow by how
+    many answers they are away from the root, then by conv_id, and turns in each, so an
+    answer comes after what it answers. Repeated rows follow each other in any order, a null
+    turn comes first; rows without conv_id are one thread of their own, in stored order. A
+    null text stays null. Only the four named columns are read.
     """
     read = messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
                            "role", "text")
@@ -150,7 +187,8 @@ def link_conversations(messages: DataFrame) -> DataFrame:
         "row", F.monotonically_increasing_id()), "messages")
     found = stored(links(rows), "links")
     # Order within spans of turns, then count spans: a long conversation is many groups.
-    span = F.coalesce(F.floor(F.col("turn") / SPAN), F.lit(-1 << 53))
+    span = F.when(F.col("conv_id").isNull(), F.shiftright("row", 10)).otherwise(
+        F.coalesce(F.floor(F.col("turn") / SPAN), F.lit(-1 << 53)))
     slim = rows.select("row", "conv_id", "turn").withColumn("span", span)
     w = Window.partitionBy("conv_id", "span").orderBy(F.col("turn").asc_nulls_first(), "row")
     inside = slim.withColumn("at", F.row_number().over(w)).withColumn(
@@ -162,11 +200,12 @@ def link_conversations(messages: DataFrame) -> DataFrame:
         .where("reply_conv <> conv_id").select("conv_id", F.col("reply_conv").alias("parent")))
     roots = threads(heads)
     placed = spans.join(roots, "conv_id", "left").withColumn(
-        "thread_id", F.coalesce("thread_id", "conv_id"))
-    along = Window.partitionBy("thread_id").orderBy("conv_id", "span")
+        "thread_id", F.coalesce("thread_id", "conv_id")).withColumn(
+        "depth", F.coalesce("depth", F.lit(0)))
+    along = Window.partitionBy("thread_id").orderBy("depth", "conv_id", "span")
     upto = Window.partitionBy("conv_id").orderBy("span")
     placed = placed.withColumn("base", F.sum("n").over(along) - F.col("n")).withColumn(
-        "before", F.lag("last").over(upto)).drop("n", "last")
+        "before", F.lag("last").over(upto)).drop("n", "last", "depth")
     places = inside.alias("i").join(placed.alias("p"), (
         F.col("i.conv_id").eqNullSafe(F.col("p.conv_id")) & (F.col("i.span") == F.col("p.span")))
     ).select("i.row", "p.thread_id", (F.col("base") + F.col("at")).alias("position"),
