@@ -29,6 +29,15 @@ SELECT account_name, count(*) AS mails, min(received_date) AS first_received,
         *[f"SELECT 'calendar_{route}' AS source, 'SUCCESS' AS status, "
           f"count(*) AS rows_ingested, count(*) FILTER (event_id % 29 IN (0, 1, 2)) "
           f"AS rows_rejected FROM p_events" for route in ("batch", "stream")]]),
+    "src_folder_moved": """
+WITH RECURSIVE folders AS (
+    SELECT p_partkey AS folder, CASE p_partkey WHEN 12 THEN 3 WHEN 57 THEN 0
+        ELSE p_partkey // 10 END AS parent FROM part WHERE p_partkey > 0),
+below AS (
+    SELECT folder, folder AS top FROM folders WHERE parent = 0
+    UNION ALL
+    SELECT f.folder, top FROM folders f JOIN below b ON f.parent = b.folder)
+SELECT 'F' || folder AS id, 'F' || top AS top FROM below""",
     "ops_quarantine": f"""
 SELECT source, id AS named_id, {RUN} AS landed_at
 FROM p_events, (VALUES ('calendar_batch'), ('calendar_stream')) routes(source)

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pulseboard.catalog import Inputs, Query, joined_arrays
 from pulseboard.functions.clock import now
 from pulseboard.hosts import AS_OF, bronze, payloads
-from pulseboard.hosts.payloads import KEYWORDS, LABELS, OWN_ADDRESS
-from pulseboard.operators import quality
+from pulseboard.hosts.payloads import KEYWORDS, LABELS, OWN_ADDRESS, ROOT
+from pulseboard.operators import intervals, quality
 from pulseboard.plans import incremental, legacy, silver
 from pulseboard.plans.refresh import SOURCES, refresh
 from pulseboard.schemas import (ACCOUNTS, CALENDAR_EVENT, CHAT, CHAT_MESSAGE, EMAILS, LEGACY,
@@ -24,6 +24,7 @@ from pulseboard.schemas import (ACCOUNTS, CALENDAR_EVENT, CHAT, CHAT_MESSAGE, EM
 from pulseboard.session import scratch_path
 from pulseboard.sources import calendar, chat, landing, layout, sinks
 from pulseboard.sources import mail as mail_source
+from pulseboard.sources.documents import FOLDER
 from pulseboard.sources.versions import Versioned
 from pulseboard.streaming import history, ledger
 
@@ -143,6 +144,17 @@ def ops_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source", "status", "rows_ingested", "rows_rejected")
 
 
+def src_folder_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder tree with stored labels, after one folder went under another account's folder
+    and one to the root: where every folder is now."""
+    files = payloads.drive_files(spark, sf_dir)
+    table = intervals.build(files.where(F.col("mimeType") == FOLDER).select("id", "parent"),
+                            ROOT, scratch_path(spark, "tree"), files=16)
+    intervals.move(table, ROOT, "F12", "F3")
+    intervals.move(table, ROOT, "F57", ROOT)
+    return intervals.closure(table.read(intervals.TREE))
+
+
 # ---- the older tables ------------------------------------------------------------
 def legacy_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     builders = (bronze.legacy_accounts, bronze.legacy_use_cases, bronze.legacy_emails,
@@ -315,6 +327,7 @@ OPERATIONS: dict[str, Query] = {
     "ops_refresh_incremental": ops_refresh_incremental,
     "ops_run_log": ops_run_log,
     "ops_quarantine": ops_quarantine,
+    "src_folder_moved": src_folder_moved,
     "src_calendar_landed": src_calendar_landed,
     "view_legacy_activity": view_legacy_activity,
     "dq_not_null_keys": dq_not_null_keys,

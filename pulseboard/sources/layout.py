@@ -70,6 +70,20 @@ def _high(name: str) -> str:
     return f"high_{name}"
 
 
+def file_bounds(table: Versioned, schema: StructType, folder: str,
+                columns: Sequence[str]) -> DataFrame:
+    """The files of a written folder as pieces: rows, and bounds of the given columns. Reads
+    these columns alone; partial aggregation leaves one row per file and task."""
+    written = table.spark.read.schema(schema).parquet(f"{table.base}/{folder}")
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    bounds = written.select(*columns, name.alias("_file")).groupBy("_file").agg(
+        F.count("*").alias("rows"),
+        *[f(c).alias(n) for c in columns
+          for f, n in ((F.min, _low(c)), (F.max, _high(c)))],
+        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns])
+    return bounds.withColumn(PIECE, F.concat(F.lit(f"{folder}/"), F.col("_file"))).drop("_file")
+
+
 def write_curve(df: DataFrame, base: str, *columns: str, files: int | None = None,
                 bits: int = BITS) -> Versioned:
     """A new version of the table, laid out along the curve over ``columns``.
@@ -84,16 +98,7 @@ def write_curve(df: DataFrame, base: str, *columns: str, files: int | None = Non
     by = [key, *columns]
     ranged = keyed.repartitionByRange(*([files] if files else []), *by)
     ranged.sortWithinPartitions(*by).drop(key).write.parquet(f"{base}/{folder}")
-    written = table.spark.read.schema(df.schema).parquet(f"{base}/{folder}")
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    # Reads the layout columns alone; partial aggregation leaves one row per file and task.
-    bounds = written.select(*columns, name.alias("_file")).groupBy("_file").agg(
-        F.count("*").alias("rows"),
-        *[f(c).alias(n) for c in columns
-          for f, n in ((F.min, _low(c)), (F.max, _high(c)))],
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns])
-    pieces = bounds.withColumn(PIECE, F.concat(F.lit(f"{folder}/"), F.col("_file"))).drop("_file")
-    table.commit(pieces, after)
+    table.commit(file_bounds(table, df.schema, folder, columns), after)
     return table
 
 
