@@ -192,6 +192,30 @@ def versioned(regex: str) -> str:
     return re.sub(r"\( version(?:\| v)?\)\? (?=\d)", lambda _: BETWEEN, regex)
 
 
+OPTIONAL = re.compile(r"(.*?)(?:\( version(?:\| v)?\)\?)?\(( \d[^()]*)\)\?")
+
+
+def told(row: tuple) -> list[tuple]:
+    """A listed rule whose version may be missing, as two: with the version in the text, its
+    label; with the name alone, or with another version, the label without one."""
+    label, tier, keyword, regex, base = row
+    found, bare = OPTIONAL.fullmatch(regex), re.sub(r"-\d.*", "", label)
+    if not found or bare == label or found[1][-1].isdigit():  # there, only a ".0" may be missing
+        return [row]
+    name, number = found.groups()
+    return [(label, tier, keyword, f"{name}( version)?{number}", base),
+            (bare, "1", keyword, name, base)]
+
+
+def identifier(row: tuple) -> list[tuple]:
+    """A listed license as an SPDX identifier."""
+    label, tier, *_ = row
+    if tier != "0":
+        return []
+    words = re.sub(r"[-.]", " ", label)
+    return [(label, "0", "spdx", f"spdx license identifier {words}", False)]
+
+
 def terms(keyword: str) -> list[str]:
     """What a rule's keywords look like in a normalised text."""
     return [f" {w[:-1]}" if w.endswith("*") else f" {w} " for w in keyword.split("/")]
@@ -204,14 +228,17 @@ def signatures() -> list[dict]:
         return [(*(x.strip() for x in line.split("|", 3)), base)
                 for line in text.strip().splitlines()]
 
-    rows = read(SIGNATURES, False)
+    listed = read(SIGNATURES, False)
+    rows = [r for row in listed for r in told(row)]
+    rows += {r[0]: r for row in listed for r in identifier(row)}.values()
     for label, keyword, name in GNU:
         for v in GNU_VERSIONS:
             number = v.replace(" ", ".")
             zero = "" if " " in v else "( 0)?"
             head = f"{name}( version)? {v}{zero}"
             rows.append((f"{label}-{number}-or-later", "0", keyword,
-                         f"{head}( of the licen[cs]e)? or (at your option )?any later version",
+                         f"{head}( of the licen[cs]e)? or (at your option )?(any )?later"
+                         "( version)?",
                          False))
             rows.append((f"{label}-{number}", "0", keyword, f"{head}( only)?", False))
         if label != "gpl" or keyword != "general":

@@ -201,6 +201,21 @@ def test_license_rules(spark):
     cases = {"Licensed under the Apache License, Version 2.0.": ("apache-2.0", 1.0),
              "under the GNU Lesser General Public License version 2.1 or any later version":
                  ("gpl,lgpl-2.1-or-later", 1.0),
+             "LaTeX Project Public License version 1.2": ("lppl", 0.7),
+             "LaTeX Project Public License version 1.3c": ("lppl-1.3c", 1.0),
+             "Zope Public License 1.0": ("zpl", 0.7), "Zope Public License": ("zpl", 0.7),
+             "Zope Public License v2.1": ("zpl-2.1", 1.0),
+             "Open Government License v2.0": ("ogl", 0.7),
+             "Open Government License v3.0": ("ogl-3.0", 1.0),
+             "SIL Open Font License 1.0": ("ofl", 0.7),
+             "SIL Open Font License, Version 1.1": ("ofl-1.1", 1.0),
+             "Etalab 1.0": ("etalab", 0.7), "Common Public License 0.5": ("cpl", 0.7),
+             "Netscape Public License 1.0": ("npl", 0.7),
+             "Reciprocal Public License 1.1": ("rpl", 0.7),
+             "SPDX-License-Identifier: MIT": ("mit", 1.0),
+             "SPDX-License-Identifier: BSD-3-Clause": ("bsd-3-clause", 1.0),
+             "SPDX-License-Identifier: Apache-2.0": ("apache-2.0", 1.0),
+             "AGPL-3.0-or-later": ("agpl-3-or-later", 1.0),
              "Released under the MIT License": ("mit", 1.0), "CC BY-SA 4.0": (
                  "cc-by,cc-by-sa-4.0", 1.0), "Copyright 2020": ("copyright", 0.4),
              "K cc K by": ("", 0.0), "nothing here": ("", 0.0)}
