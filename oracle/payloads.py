@@ -223,7 +223,11 @@ SELECT id, array_to_string(list_sort(list_filter([
     'to=a' || (event_id % 5) || '@example.com, "Last, First" <b@example.com>, ',
     CASE WHEN event_id % 2 = 1 THEN 'cc=c@example.com (Team C)' END,
     'date=' || CASE WHEN event_id % 37 = 0 THEN 'not a date'
-        ELSE strftime(ts + INTERVAL 2 HOUR, '%a, %d %b %Y %H:%M:%S') || ' +0200' END,
+        WHEN event_id % 41 = 1 THEN strftime(ts - INTERVAL 5 HOUR, '%a, %d %b %Y %H:%M:%S EST')
+        WHEN event_id % 41 = 2 THEN strftime(ts - INTERVAL 7 HOUR, '%a, %-d %b %Y %H:%M:%S PDT')
+        WHEN event_id % 41 = 3 THEN strftime(ts, '%d %b %Y %H:%M:%S GMT')
+        WHEN event_id % 41 = 4 THEN strftime(ts, '%a, %-d %b %y %H:%M:%S +0000 (UTC)')
+        ELSE strftime(ts + INTERVAL 2 HOUR, '%a, %d %b %Y %H:%M:%S +0200') END,
     'subject=' || subject], lambda x: x IS NOT NULL)), ';') AS headers
 FROM p_mail""",
     "parse_address": "SELECT id, address AS from_email, from_name FROM p_mail",
