@@ -21,6 +21,7 @@ PRIORITY_ORDER = ("URGENT", "HIGH", "MEDIUM")
 # Preview widths, length of the thread ranking, attention bound.
 MESSAGE_PREVIEW, THREAD_PREVIEW, TOP_THREADS = 200, 150, 20
 ATTENTION_BELOW = 65
+BLOCK_CHARS = 3  # senders of a thread are sorted in blocks of this common beginning
 
 
 def _thousands(name: str) -> Column:
@@ -128,13 +129,29 @@ def email_volume(emails: DataFrame, as_of: datetime, within_days: int | None = N
 
 
 def thread_summary(emails: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
-    """With ``accounts`` a mail counts once for each account of its name."""
-    threads = (emails.groupBy("account_name", "thread_id", "subject")
-               .agg(F.count("*").alias("emails_in_thread"),
-                    F.min(_day("received_date")).alias("thread_start"),
-                    F.max(_day("received_date")).alias("last_reply"),
-                    F.bool_or("needs_response").alias("has_pending_response"),
-                    F.array_sort(F.collect_set("from_email")).alias("participants")))
+    """With ``accounts`` a mail counts once for each account of its name.
+
+    Senders are told apart before they meet: mails are counted per thread and sender,
+    then senders sorted in blocks of one beginning, then blocks joined in order. A thread
+    with very many mails or senders is spread over tasks until its line is written.
+    """
+    thread = ["account_name", "thread_id", "subject"]
+    senders = (emails.groupBy(*thread, "from_email")
+               .agg(F.count("*").alias("mails"), F.min(_day("received_date")).alias("first"),
+                    F.max(_day("received_date")).alias("last"),
+                    F.bool_or("needs_response").alias("pending")))
+    blocks = (senders.withColumn("block", F.substring("from_email", 1, BLOCK_CHARS))
+              .groupBy(*thread, "block")
+              .agg(F.sum("mails").alias("mails"), F.min("first").alias("first"),
+                   F.max("last").alias("last"), F.bool_or("pending").alias("pending"),
+                   F.array_sort(F.collect_list("from_email")).alias("names")))
+    ordered = F.array_sort(F.collect_list(F.struct("block", "names")))
+    threads = (blocks.groupBy(*thread)
+               .agg(F.sum("mails").alias("emails_in_thread"),
+                    F.min("first").alias("thread_start"),
+                    F.max("last").alias("last_reply"),
+                    F.bool_or("pending").alias("has_pending_response"),
+                    F.flatten(F.transform(ordered, lambda b: b["names"])).alias("participants")))
     if accounts is not None:
         threads = _per_account(threads, accounts, ("emails_in_thread",), tier=False)
     return (threads.where(F.col("emails_in_thread") > 1)

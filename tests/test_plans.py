@@ -133,6 +133,29 @@ def test_counting_first_equals_joining_first(small):
     assert twin["total_emails"] == 4
 
 
+def test_thread_of_many_senders_is_sorted_in_blocks(spark):
+    names = ([f"p{i:03d}@x.org" for i in range(40)] + ["", "a", "ab", "abc", "Zoe@y.org", "é@x.org", "p"])
+    days = [f"2025-01-{1 + i % 28:02d} 10:00:00" for i in range(3 * len(names))]
+    mails = [("A", "t", "S", n, d, i % 50 == 7)
+             for i, (n, d) in enumerate(zip(names * 3, days))]
+    mails += [("A", "t", "S", None, "2025-03-01 00:00:00", None),
+              ("A", "u", "S", None, "2025-03-01 00:00:00", False),
+              ("A", "u", None, "one@x.org", "2025-03-01 00:00:00", False),
+              ("B", None, "S", None, None, None), ("B", None, "S", None, None, None)]
+    frame = spark.createDataFrame(
+        mails, "account_name string, thread_id string, subject string, from_email string, "
+               "received_date string, needs_response boolean").withColumn(
+        "received_date", F.col("received_date").cast("timestamp_ntz"))
+    got = {r["account_name"]: r for r in reports.thread_summary(frame).collect()}
+    assert set(got) == {"A", "B"}  # threads of one mail have no line
+    assert got["A"]["participants"] == sorted(set(names), key=str.encode)
+    assert got["A"]["emails_in_thread"] == 3 * len(names) + 1
+    assert (str(got["A"]["thread_start"]), str(got["A"]["last_reply"])) == ("2025-01-01", "2025-03-01")
+    assert got["A"]["has_pending_response"] is True
+    assert got["B"]["participants"] == [] and got["B"]["thread_start"] is None
+    assert got["B"]["has_pending_response"] is None
+
+
 def test_timeline_is_the_sum_of_its_parts(small):
     timeline = gold.activity(small["emails"], small["calendar"], small["chat"], AS_OF)
     assert timeline.columns == list(gold.TIMELINE)
