@@ -115,6 +115,72 @@ def test_ledger_against_brute_force(spark, docs, table):
     assert quality.ledger(empty(spark)).count() == 0
 
 
+def more_measures(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    bodies = [b for b in (line.strip(" \t\x0b\x0c\r") for line in text.split("\n")) if b]
+
+    def chars(test):
+        return sum(map(test, text))
+    return {
+        "n_chars": len(text), "n_digits": chars(lambda c: c in "0123456789"),
+        "n_upper": chars(lambda c: "A" <= c <= "Z"),
+        "n_letters": chars(lambda c: "a" <= c.lower() <= "z" and c < "\x80"),
+        "n_wide": chars(lambda c: c > "\x7f"), "n_bangs": chars(lambda c: c == "!"),
+        "n_control": chars(lambda c: c == "\x7f" or "\x01" <= c <= "\x08" or "\x0e" <= c <= "\x1f"),
+        "n_braces": chars(lambda c: c in "{}"), "n_points": chars(lambda c: c in ".,;:!?"),
+        "n_lost": chars(lambda c: c == "\ufffd"),
+        "n_urls": len(re.findall("https?://", text)),
+        "n_lorem": len(re.findall("[Ll]orem ipsum", text)),
+        "n_script": len(re.findall("javascript|JavaScript", text)),
+        "n_lines": len(bodies), "n_end_lines": sum(b[-1] in '.!?"' for b in bodies),
+        "n_cut_lines": sum(b[-3:] == "..." or b[-1] == "\u2026" for b in bodies),
+        "n_bullet_lines": sum(b[0] in "-*\u2022" for b in bodies),
+        "n_short_lines": sum(len(b) <= 10 for b in bodies),
+        "max_line": max(map(len, bodies), default=0),
+        "max_word": max((len(w.encode()) for w in words), default=0),
+        "n_kinds": len(set(words)), "n_top_word": max(Counter(words).values(), default=0),
+        "n_stop": sum(w in quality.STOP for w in words)}
+
+
+ODD_TEXTS = [
+    None, "", " \n\t", "one", "the of\x01\x7f \ufffd\ufffd {x} https://a http://b httpx://c",
+    "- a\n* b\n\u2022 c\n  - d...\ne\u2026\nEnd.\n\"Q\"\nWhy?\r\n" * 3,
+    "Lorem ipsum lorem ipsum LOREM IPSUM javascript JavaScript Javascript",
+    "w" * 1500 + " \u00e9\u4e2d\U0001f600 " + "go " * 40, "A B C! D!! 12 345 \u0661",
+    "x\u00a0y\x1cz\x85q \u2028r"]
+
+
+def test_every_measure_and_rule_against_brute_force(spark, table):
+    odd = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(ODD_TEXTS)],
+                                "doc_id long, text string, fail_bits string")
+    for frame in (odd, table):
+        texts = {r["doc_id"]: r["text"] for r in frame.select("doc_id", "text").collect()}
+        for row in quality.ledger(frame).collect():
+            want = more_measures(texts[row["doc_id"]])
+            assert {m: row[m] for m in want} == want, texts[row["doc_id"]]
+            values = {m: row[m] for m in quality.MEASURES}
+            failed = {name for name, test in quality.RULES if eval(
+                test.replace(" = ", " == ").replace("OR", "or"), {}, values)}
+            assert {n for n, bit in quality.BIT.items() if row["fail_bits"] & bit} == failed
+
+
+def test_policy_table(spark, docs):
+    frame = quality.policy_table(spark)
+    found = quality.read_policies(frame.union(frame))
+    assert {(p.name, p.version): p.mask for p in found} == {
+        (p.name, p.version): p.mask for p in quality.POLICIES}
+    assert quality.read_policies(frame.limit(0)) == []
+    rows = quality.ledger(docs).withColumn("by", quality.kept_by(found)).collect()
+    for r in rows:
+        assert r["by"] == ",".join(
+            f"{p.name}:{p.version}" for p in found if r["fail_bits"] & p.mask == 0)
+    for bad in [("web", 9, "no_such_rule"), ("web", 9, None), (None, 1, "short"),
+                ("web", None, "short")]:
+        with pytest.raises(ValueError):
+            quality.read_policies(spark.createDataFrame([bad], frame.schema))
+
+
 def test_policies_and_ablations(spark, docs):
     rows = quality.ledger(docs).cache()
     bits = [r["fail_bits"] for r in rows.collect()]
