@@ -26,13 +26,13 @@ CHAIN = 2  # content words in a signature
 REACH = 3  # further anchors a chain may step over
 SIMILAR = 0.8
 
-BUCKET_BYTES = 4 << 20
-CUTS = 4096  # bounds are chosen among this many quantiles
+BUCKET_BYTES = 8 << 20
+CUTS = 4096  # bounds inside a coarse range are chosen among this many quantiles
 
 
 def spots(norm: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN,
           reach: int = REACH) -> Column:
-    """Sorted distinct 32-bit hashes of the signatures of a normalised text.
+    """Sorted distinct 64-bit hashes of the signatures of a normalised text.
 
     A chain takes the content words up to the next anchors, at most ``reach`` of them
     stepped over; an anchor with too few words behind it gives none. A text without any
@@ -52,14 +52,14 @@ def spots(norm: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN,
             after = [F.get(parts, i + k)["rest"] for k in range(1, reach + 1)]
             text = F.trim(F.regexp_replace(F.concat_ws(" ", part["rest"], *after), " +", " "))
             full = F.get(F.split(text, " ", chain + 1), F.lit(chain - 1)).isNotNull()
-            return F.when(full, F.hash(part["anchor"], F.substring_index(text, " ", chain)))
+            return F.when(full, F.xxhash64(part["anchor"], F.substring_index(text, " ", chain)))
         return F.array_sort(F.array_distinct(F.filter(
             F.transform(parts, sign), lambda h: h.isNotNull())))
 
     # the pieces are built once: a lambda over an array of one holds them
     found = F.get(F.transform(F.array(parts), signatures), F.lit(0))
     return F.get(F.transform(F.array(found), lambda s: F.when(F.size(s) > 0, s).otherwise(
-        F.array(F.hash(norm)))), F.lit(0))
+        F.array(F.xxhash64(norm)))), F.lit(0))
 
 
 def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
@@ -74,9 +74,8 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def fingerprint(sets: Column) -> Column:
-    """The set as text: hashes of eight hex digits, in order."""
-    return F.array_join(F.transform(sets, lambda h: F.lpad(F.hex(
-        F.shiftrightunsigned(F.shiftleft(h.cast("long"), 32), 32)), 8, "0")), " ")
+    """The set as text: hashes of 16 hex digits, in order."""
+    return F.array_join(F.transform(sets, lambda h: F.lpad(F.hex(h), 16, "0")), " ")
 
 
 def similar_pairs(docs: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
@@ -120,39 +119,91 @@ def similar_pairs(docs: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, D
     return labels, pairs.where(F.col("similarity") >= least)
 
 
+def below(bounds: Column, key: Column) -> Column:
+    """How many of the ascending bounds are less than the key, by binary search."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(CUTS.bit_length() + 1))])
+    return F.reduce(steps, F.lit(0), lambda at, step: F.when(
+        F.get(bounds, at + step - 1) < key, at + step).otherwise(at))
+
+
+def cut_points(keys: DataFrame) -> tuple[list[int], int | None, DataFrame]:
+    """Bounds of ranges of about BUCKET_BYTES, from rows (_key, _size): coarse ones as a
+    list, the largest key, and for each coarse range a row (_coarse, _cuts) with the bounds
+    inside it.
+
+    There are about as many coarse ranges as ranges in each, so the list grows with the
+    square root of the text. Quantiles of large ids are rounded, so each is replaced by the
+    largest id of its range: every bound is an id that exists, and no range is empty.
+    """
+    found = keys.agg(F.sum("_size").alias("size"), F.max("_key").alias("top")).first()
+    ranges = 1 + (found["size"] or 0) // BUCKET_BYTES
+    many = math.isqrt(ranges - 1) + 1
+    coarse = []
+    if many > 1:
+        coarse = keys.agg(F.percentile_approx("_key", [i / many for i in range(1, many)],
+                                              10 * max(many, 100)).alias("cuts")).first()["cuts"]
+        own = below(longs(sorted(set(coarse or []))), F.col("_key"))
+        largest = keys.groupBy(own.alias("_coarse")).agg(F.max("_key").alias("key")).collect()
+        coarse = sorted(r["key"] for r in largest)[:-1]
+    placed = keys.withColumn("_coarse", below(longs(coarse), F.col("_key")))
+    parts = F.least(F.lit(CUTS), 1 + F.floor(F.col("size") / BUCKET_BYTES)).cast("int")
+    picked = F.transform(F.sequence(F.lit(1), F.col("parts") - 1), lambda i: F.get(
+        F.col("cuts"), F.floor(i * CUTS / F.col("parts")).cast("int") - 1))
+    quantiles = (placed.groupBy("_coarse")
+                 .agg(F.sum("_size").alias("size"), F.percentile_approx(
+                     "_key", [i / CUTS for i in range(1, CUTS)], 10 * CUTS).alias("cuts"))
+                 .withColumn("parts", parts)
+                 .select("_coarse", F.when(F.col("parts") > 1, F.array_sort(
+                     F.array_distinct(picked))).otherwise(longs([])).alias("_cuts")))
+    largest = (placed.join(F.broadcast(quantiles), "_coarse")
+               .groupBy("_coarse", below(F.col("_cuts"), F.col("_key")).alias("_fine"))
+               .agg(F.max("_key").alias("key")))
+    ordered = F.array_sort(F.collect_list("key"))
+    fine = largest.groupBy("_coarse").agg(
+        F.slice(ordered, F.lit(1), F.size(ordered) - 1).alias("_cuts"))
+    return coarse, found["top"], stored(fine, "cuts")
+
+
+def longs(values: list[int]) -> Column:
+    return F.lit(values).cast("array<bigint>")
+
+
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """Each row with the given columns of the next one by descending doc_id (named with
     ``next_`` before); after the last comes the first.
 
     Ids are cut into ranges of about BUCKET_BYTES of text at ids that exist, each the
-    largest of its range. Those few rows also go to the range above, where they follow
-    the last row, and the largest of all goes below the lowest. Equal ids follow each
-    other in order of their text's hash, null ids come last.
+    largest of its range: coarse ranges first, then ranges inside each. The rows at a
+    bound also go to the range above, where they follow the last row, and the largest of
+    all goes below the lowest. What is broadcast is eight bytes a range, a millionth of
+    the text. Equal ids follow each other in order of their text's hash, null ids come
+    last; rows of one id are never parted.
     """
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     rows = docs.withColumn("_key", key)
-    found = rows.agg(
-        F.sum(F.octet_length("text")).alias("bytes"), F.max("_key").alias("top"),
-        F.percentile_approx("_key", [i / CUTS for i in range(1, CUTS)], 10 * CUTS)
-        .alias("cuts")).first()
-    many = min(CUTS, 1 + (found["bytes"] or 0) // BUCKET_BYTES)
-    cuts = found["cuts"] or []
-    bounds = sorted({cuts[i * CUTS // many - 1] for i in range(1, many)}) if cuts else []
-    bound = F.array(*[F.lit(b).cast("long") for b in bounds]).cast("array<bigint>")
-    own = F.size(F.filter(bound, lambda b: b < F.col("_key")))
+    coarse, top, fine = cut_points(rows.select(
+        "_key", F.coalesce(F.octet_length("text"), F.lit(0)).alias("_size")))
+    upper = longs(coarse)
+    placed = (rows.withColumn("_coarse", below(upper, F.col("_key")))
+              .join(F.broadcast(fine), "_coarse")
+              .withColumn("_fine", below(F.col("_cuts"), F.col("_key"))))
+
+    def place(at: Column, inside: Column, guest: int) -> Column:
+        return F.struct(at.cast("int").alias("coarse"), inside.cast("int").alias("fine"),
+                        F.lit(guest).alias("guest"))
     places = F.array(
-        F.struct(own.alias("range"), F.lit(0).alias("guest")),
-        F.when(F.array_contains(bound, F.col("_key")),
-               F.struct((own + 1).alias("range"), F.lit(1).alias("guest"))),
-        F.when(F.col("_key") == F.lit(found["top"]),
-               F.struct(F.lit(0).alias("range"), F.lit(2).alias("guest"))))
-    placed = rows.withColumn("_at", F.explode(F.filter(places, lambda p: p.isNotNull())))
-    order = Window.partitionBy("_at.range").orderBy(
+        place(F.col("_coarse"), F.col("_fine"), 0),
+        F.when(F.get("_cuts", F.col("_fine")) == F.col("_key"),
+               place(F.col("_coarse"), F.col("_fine") + 1, 1)),
+        F.when(F.get(upper, F.col("_coarse")) == F.col("_key"),
+               place(F.col("_coarse") + 1, F.lit(0), 1)),
+        F.when(F.col("_key") == F.lit(top), place(F.lit(0), F.lit(0), 2)))
+    placed = placed.withColumn("_at", F.explode(F.filter(places, lambda p: p.isNotNull())))
+    order = Window.partitionBy("_at.coarse", "_at.fine").orderBy(
         "_at.guest", F.desc("_key"), F.xxhash64("text"))
     after = F.lead(F.struct(*columns)).over(order)
     return (placed.withColumn("_next", after).where("_at.guest = 0")
-            .select("*", *[F.col(f"_next.{c}").alias(f"next_{c}") for c in columns])
-            .drop("_key", "_at", "_next"))
+            .select(*docs.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in columns]))
 
 
 def edited(text: Column, following: Column) -> Column:

@@ -861,6 +861,20 @@ def test_next_over_many_ranges(spark, monkeypatch):
     got = {r["doc_id"]: r["next_text"] for r in spotsigs.with_next(frame, ["text"]).collect()}
     down = sorted(ids, reverse=True)
     assert got == {a: str(b) for a, b in zip(down, down[1:] + down[:1])}
+    chance = random.Random(4)
+    wild = [(chance.choice([chance.randrange(60), chance.randrange(-(1 << 62), 1 << 62)]),
+             "x" * chance.randrange(50)) for _ in range(400)] + [(None, "n"), (-(1 << 63) + 1, None)]
+    frame = spark.createDataFrame([(i, f"{n}{t or ''}", "clash") for n, (i, t) in enumerate(wild)],
+                                  "doc_id long, text string, size string")
+    for size in (1, 40, 700, 5000, 1 << 20):
+        monkeypatch.setattr(spotsigs, "BUCKET_BYTES", size)
+        got = spotsigs.with_next(frame, ["doc_id", "text"]).collect()
+        texts = sorted(r["text"] for r in got)  # every row once, every row after one other
+        assert texts == sorted(r["next_text"] for r in got) and len(set(texts)) == len(wild)
+        ids = sorted((i for i, _ in wild), key=lambda i: (i is None, -(i or 0)))
+        after = Counter(zip(ids, ids[1:] + ids[:1]))
+        assert Counter((r["doc_id"], r["next_doc_id"]) for r in got) == after
+    monkeypatch.setattr(spotsigs, "BUCKET_BYTES", 1)
     one = spark.createDataFrame([(4, "x")], "doc_id long, text string")
     assert spotsigs.with_next(one, ["text"]).first()["next_text"] == "x"
 
