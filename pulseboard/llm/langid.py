@@ -1,10 +1,11 @@
 """Language identification with a string kernel.
 
 Texts are compared by the character 1- to 3-grams present in them (blended spectrum,
-presence only): k(x, y) = |G(x) & G(y)| / sqrt(|G(x)| |G(y)|). A bounded sample of
-labelled texts is compared with a few landmark texts among them (Nystroem), and ridge
-regression in that space gives one weight vector per language against the rest. A batch
-of texts is scored by two matrix products: presence x landmarks, kernel x weights.
+presence only): k(x, y) = |G(x) & G(y)| / sqrt(|G(x)| |G(y)|). Every labelled text is
+compared with a few landmark texts among them (Nystroem), and ridge regression in that
+space gives one weight vector per language against the rest. The regression needs sums
+over the texts alone, which tasks add up where the texts are. A batch of texts is scored
+by two matrix products: presence x landmarks, kernel x weights.
 """
 
 from __future__ import annotations
@@ -12,22 +13,21 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulseboard.llm.common import map_batches, stored, table, worker_memory
+from pulseboard.llm.common import ARROW, map_batches, slices, stored, table, worker_memory
 
 GRAMS = 3
 DIMS = 1 << 14  # gram slots; grams are hashed into them
-PER_LANGUAGE = 250  # labelled documents the classifier is fitted on, for each language,
-TRAIN_ROWS = 4000  # and in all; each takes DIMS / 8 bytes on the driver
-LANDMARKS = 160
+LANDMARKS = 160  # width of the model: labelled texts that all others are compared with
+SCALE = 1 << 16  # kernel values are added up as whole numbers of 1 / SCALE, in any order
+LANGUAGES_HELD = 64  # by a task before it hands its sums on
 RIDGE = 1e-4
 BATCH_BYTES = 2 << 20  # of text compared at once; a character takes some 50 bytes
 UNKNOWN = "und"
-SPARE = 60  # labelled documents of a language that no model is fitted on, from which comes
-# what share of a text's grams a learned language knows; in all at most SPARE_ROWS
-SPARE_ROWS = 1000
+STEPS = 1 << 16  # in which shares are counted
 COMMON = 0.02  # share of a language's fitted documents a gram stands in to be known
 LOW, SLACK = 0.01, 0.75  # a text is unlike below SLACK times this quantile of theirs
 CUT = 0.6  # where no labelled document is spare
@@ -85,9 +85,11 @@ class Model:
         return (grams @ known.T).max(axis=1) / np.maximum(grams.sum(axis=1), 1)
 
     def kernel(self, grams: np.ndarray) -> np.ndarray:
+        """Kernel of texts and landmarks; the matrix product counts, so it is exact."""
         marks = np.unpackbits(self.landmarks, axis=1, count=DIMS).astype(np.float32)
-        marks /= np.sqrt(np.maximum(marks.sum(axis=1, keepdims=True), 1))
-        return grams @ marks.T / np.sqrt(np.maximum(grams.sum(axis=1, keepdims=True), 1))
+        sizes = np.maximum(grams.sum(axis=1, dtype=np.float64), 1)[:, None] * np.maximum(
+            marks.sum(axis=1, dtype=np.float64), 1)
+        return (grams @ marks.T) / np.sqrt(sizes)
 
 
 def _fold(doc_id: str) -> Column:
@@ -109,24 +111,30 @@ def learned(doc_id: str = "doc_id") -> Column:
     return ~held_out(doc_id) & ~spare(doc_id)
 
 
+def labelled(fold: Column) -> Column:
+    """Rows of a fold that can be learned from."""
+    return (F.col("lang").isNotNull() & F.col("text").isNotNull()
+            & F.col("doc_id").isNotNull() & fold)
+
+
 def sample(docs: DataFrame, per_language: int, rows: int, fold: Column) -> DataFrame:
-    """(doc_id, lang, digest of the text) of the labelled documents to look at, by hash order;
-    languages take turns, so that each is there. Texts are not sorted. A row is known by all
-    three, so where an id stands in several rows, each text keeps its own label."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
-                       & F.col("doc_id").isNotNull() & fold)
+    """(doc_id, lang, digest of the text) of the landmarks, by hash order; languages take
+    turns, so that each is there. Texts are not sorted. A row is known by all three, so
+    where an id stands in several rows, each text keeps its own label."""
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("digest")]
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    return (known.select("doc_id", "lang", F.md5("text").alias("digest")).distinct()
+    return (docs.where(labelled(fold))
+            .select("doc_id", "lang", F.md5("text").alias("digest")).distinct()
             .withColumn("turn", turn).where(F.col("turn") <= per_language)
             .orderBy("turn", *order, "lang").limit(rows).drop("turn"))
 
 
 def labelled_bits(docs: DataFrame, per_language: int, rows: int, fold: Column) -> list:
-    """(lang, presence bits) of such a sample, in a fixed order. Bits are computed where the
+    """(lang, presence bits) of such landmarks, in a fixed order. Bits are computed where the
     texts are, and only they come to the driver; texts without a letter have none."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text", "lang")
-    chosen = stored(sample(docs, per_language, rows, fold), "language-sample")
+    docs = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(
+        F.col("text").rlike(r"\p{L}"))
+    chosen = stored(sample(docs, per_language, rows, fold), "language-landmarks")
 
     def step():
         def work(batch):
@@ -144,41 +152,105 @@ def labelled_bits(docs: DataFrame, per_language: int, rows: int, fold: Column) -
             .select("lang", "bits").collect())
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = TRAIN_ROWS,
-        landmarks: int = LANDMARKS) -> Model:
-    """Fit on at most ``rows`` labelled documents, none of them held out or spare."""
-    found = labelled_bits(docs, per_language, rows, learned())
-    languages = tuple(sorted({r["lang"] for r in found}))
-    if not languages:
-        return Model((), np.zeros((0, DIMS // 8), np.uint8), np.zeros((0, 0), np.float32))
-    by_language = [[r for r in found if r["lang"] == name] for name in languages]
-    each = max(1, landmarks // len(languages))
-    marks = [r["bits"] for rows in by_language for r in rows[:each]]
-    packed = np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), -1)
-    grams = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in found), np.uint8)
-                          .reshape(len(found), -1), axis=1).astype(np.float32)
-    model = Model(languages, packed, np.zeros((0, 0)))
-    full = model.kernel(grams).astype(np.float64)
-    core = model.kernel(np.unpackbits(packed, axis=1).astype(np.float32)).astype(np.float64)
-    target = np.where(np.array([[r["lang"] == name for name in languages] for r in found]),
-                      1.0, -1.0)
-    ridge = RIDGE * len(found) * (core + 1e-6 * np.eye(len(core)))
-    weights = np.linalg.lstsq(full.T @ full + ridge, full.T @ target, rcond=None)[0]
-    known = np.packbits(np.array([grams[target[:, i] > 0].mean(axis=0) >= COMMON
-                                  for i in range(len(languages))]), axis=1)
-    return Model(languages, packed, weights.astype(np.float32), known)
+SUMS = {"part": "string", "lang": "string", "place": "bigint", "n": "bigint"}
+
+
+def sums(docs: DataFrame, landmarks: np.ndarray, fold: Column) -> DataFrame:
+    """Rows (part, lang, place, n) added up over all labelled texts with a letter:
+    ``texts`` of a language; its ``grams``, how many of its texts have the gram of a slot;
+    its ``kernel`` values with a landmark; ``products`` of the values with two landmarks
+    (place: first * landmarks + second), over all languages. Kernel values are whole numbers
+    of 1 / SCALE, so the sums are the same in any order. Repeated rows count each."""
+    width = len(landmarks)
+
+    def run(batches):
+        model = Model((), landmarks, np.zeros((0, 0)))
+        held: dict[str, list] = {}
+        products = np.zeros((width, width), np.int64)
+
+        def rows(part, lang, values):
+            at = np.flatnonzero(values)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part] * len(at), pa.string()), pa.array([lang] * len(at), pa.string()),
+                 pa.array(at, pa.int64()), pa.array(values.ravel()[at], pa.int64())],
+                schema=pa.schema([(name, ARROW[kind]) for name, kind in SUMS.items()]))
+
+        def hand_on():
+            for lang, values in held.items():
+                for part, value in zip(("texts", "grams", "kernel"), values):
+                    yield rows(part, lang, value)
+            held.clear()
+
+        for batch in batches:
+            for part in slices(batch, 256, BATCH_BYTES):
+                grams, seen = presence(part.column("text").to_pylist())
+                values = np.rint(model.kernel(grams) * SCALE) * seen[:, None]
+                products += (values.T @ values).astype(np.int64)  # below 2 ** 53: exact
+                names, which = np.unique(np.array(part.column("lang").to_pylist(), object),
+                                         return_inverse=True)
+                own = ((which == np.arange(len(names))[:, None]) & seen).astype(np.float32)
+                new = zip(own.sum(axis=1), own @ grams, own.astype(np.float64) @ values)
+                for lang, found in zip(names.tolist(), new):
+                    found = [np.atleast_1d(x).astype(np.int64) for x in found]
+                    held[lang] = [a + b for a, b in zip(held[lang], found)] if (
+                        lang in held) else found
+                if len(held) > LANGUAGES_HELD:
+                    yield from hand_on()
+            pa.default_memory_pool().release_unused()
+        yield from hand_on()
+        yield rows("products", None, products)
+
+    return (docs.where(labelled(fold)).select("text", "lang")
+            .mapInArrow(run, ", ".join(f"{n} {k}" for n, k in SUMS.items()))
+            .groupBy("part", "lang", "place").agg(F.sum("n").alias("n")))
+
+
+def fit(docs: DataFrame, landmarks: int = LANDMARKS) -> Model:
+    """Fit on every labelled document that is neither held out nor spare. ``landmarks`` is
+    the width of the model; what comes to the driver grows with it and with the number of
+    languages, not with the documents."""
+    marks = [r["bits"] for r in labelled_bits(docs, landmarks, landmarks, learned())]
+    packed = np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), DIMS // 8)
+    if not marks:
+        return Model((), packed, np.zeros((0, 0), np.float32))
+    added = stored(sums(docs, packed, learned()), "language-sums")
+    texts = added.where("part = 'texts'").select("lang", F.col("n").alias("texts"))
+    counts = {r["lang"]: r["texts"] for r in texts.collect()}
+    languages = tuple(sorted(counts))
+    at = {name: i for i, name in enumerate(languages)}
+    inner = np.zeros((len(marks), len(marks)))
+    for r in added.where("part = 'products'").select("place", "n").collect():
+        inner[divmod(r["place"], len(marks))] = r["n"] / SCALE ** 2
+    own = np.zeros((len(marks), len(languages)))
+    for r in added.where("part = 'kernel'").select("lang", "place", "n").collect():
+        own[r["place"], at[r["lang"]]] = r["n"] / SCALE
+    known = np.zeros((len(languages), DIMS), np.uint8)
+    for r in (added.where("part = 'grams'").join(F.broadcast(texts), "lang")
+              .where(F.col("n") / F.col("texts") >= COMMON)
+              .groupBy("lang").agg(F.collect_list("place").alias("slots")).collect()):
+        known[at[r["lang"]], r["slots"]] = 1
+    core = Model((), packed, np.zeros((0, 0))).kernel(
+        np.unpackbits(packed, axis=1).astype(np.float32))
+    ridge = RIDGE * sum(counts.values()) * (core + 1e-6 * np.eye(len(core)))
+    # The target is 1 for a text of the language and -1 for one of the rest.
+    target = 2 * own - own.sum(axis=1, keepdims=True)
+    weights = np.linalg.lstsq(inner + ridge, target, rcond=None)[0]
+    return Model(languages, packed, weights.astype(np.float32), np.packbits(known, axis=1))
 
 
 def calibrate(docs: DataFrame, model: Model) -> Model:
-    """The model with its ``cut``: how unlike a text of a learned language can be, from at
-    most SPARE_ROWS labelled spare documents. Without any, the cut stays as it was."""
-    found = [r["bits"] for r in labelled_bits(docs, SPARE, SPARE_ROWS, spare())
-             if r["lang"] in model.languages]
+    """The model with its ``cut``: how unlike a text of a learned language can be, from
+    every labelled spare document. Without any, the cut stays as it was."""
+    known = docs.where(labelled(spare()) & F.col("lang").isin(list(model.languages)))
+    step = F.floor(F.col("share") * STEPS).cast("long").alias("step")
+    found = sorted(tuple(r) for r in predict(known, model).where(F.col("lang_pred") != UNKNOWN)
+                   .groupBy(step).count().collect())
     if not found:
         return model
-    shares = model.share(np.unpackbits(np.frombuffer(b"".join(found), np.uint8)
-                                       .reshape(len(found), -1), axis=1).astype(np.float32))
-    return replace(model, cut=SLACK * float(np.quantile(shares, LOW)))
+    steps, ends = np.array([s for s, _ in found]), np.cumsum([n for _, n in found])
+    rank = LOW * (ends[-1] - 1)  # between two places in order, as numpy's quantile does
+    low, high = steps[np.searchsorted(ends, [np.floor(rank), np.ceil(rank)], side="right")]
+    return replace(model, cut=SLACK * float(low + (high - low) * (rank % 1)) / STEPS)
 
 
 def predict(docs: DataFrame, model: Model, columns: dict[str, str] | None = None) -> DataFrame:

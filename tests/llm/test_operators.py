@@ -506,6 +506,47 @@ def test_kernel_and_ridge_against_a_plain_twin(spark):
         assert abs(got[i]["score"] - min(1, max(0, (outs.max() + 1) / 2))) < 1e-3
 
 
+def test_model_and_cut_come_from_every_labelled_document(spark, monkeypatch):
+    """More documents than any sample would hold, in more labels than a task holds: counts,
+    weights and cut are those of all of them, however the rows are dealt."""
+    monkeypatch.setattr(langid, "LANGUAGES_HELD", 2)
+    rng = random.Random(8)
+    letters = {"de": "abcdefghäöüß", "en": "abcdefghklmn", "fr": "acegéèàçklmn"}
+    rows = [(i, "" if i % 97 == 0 else " ".join("".join(rng.choices(letters[lang], k=rng.randrange(
+        1, 6))) for _ in range(rng.randrange(1, 30))), lang)
+        for i, lang in enumerate(rng.choices(list(letters), [20, 4, 1], k=6500))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = [langid.calibrate(d, langid.fit(d, landmarks=12))
+              for d in (frame, frame.repartition(7))]
+    fold = [zlib.crc32(str(i).encode()) for i, _, _ in rows]
+    grams, seen = langid.presence([t for _, t, _ in rows])
+    spare = np.array([f % 4 != 2 and f // 4 % 8 == 0 for f in fold]) & seen
+    fitted = np.array([f % 4 != 2 and f // 4 % 8 != 0 for f in fold]) & seen
+    lang = np.array([r[2] for r in rows])
+    assert fitted.sum() > 4000 and min((spare & (lang == x)).sum() for x in ("de", "en")) > 60
+    names = sorted(letters)
+    known = np.array([grams[fitted & (lang == name)].mean(axis=0, dtype=float) >= langid.COMMON
+                      for name in names])
+    marks = np.unpackbits(models[0].landmarks, axis=1).astype(float)
+
+    def k(a):
+        return a @ marks.T / np.sqrt(a.sum(axis=1)[:, None] * marks.sum(axis=1))
+
+    full = k(grams[fitted].astype(float))
+    target = np.where(lang[fitted][:, None] == names, 1.0, -1.0)
+    weights = np.linalg.solve(full.T @ full + langid.RIDGE * len(full) * (
+        k(marks) + 1e-6 * np.eye(12)), full.T @ target)
+    share = (grams[spare] @ known.T.astype(float)).max(axis=1) / grams[spare].sum(axis=1)
+    cut = langid.SLACK * np.quantile(share, langid.LOW)
+    for model in models:
+        assert model.languages == tuple(names)
+        assert np.array_equal(model.known, np.packbits(known, axis=1))
+        assert np.abs(k(grams[seen]) @ (model.weights - weights)).max() < 1e-3
+        assert abs(model.cut - cut) < 1e-4
+    assert models[0].cut == models[1].cut
+    assert np.array_equal(models[0].weights, models[1].weights)
+
+
 def test_unlike_texts_go(spark):
     frame = spark.read.parquet(f"{SF_DIR}/../sf0.01/documents.parquet")
     rng = random.Random(1)
