@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from pulseboard.llm.common import map_batches, table, worker_memory
 
@@ -33,8 +33,11 @@ BUCKET_BYTES = 4 << 20
 STEP_TOKENS = 1 << 19
 BATCH_BYTES = 2 << 20  # of text encoded at once
 CHUNKS_KEPT = 200_000
-SPACES = np.frombuffer(b" \t\n\v\f\r", np.uint8)
-MARKS = np.frombuffer(b".,;:!?", np.uint8)
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+LETTERS = np.array([bytes([i]).isalpha() for i in range(256)])
+LATIN = np.array([0x80 <= i < 0xC0 and i not in (0x97, 0xB7) for i in range(256)])  # behind C3
+SIGNS = np.array([33 <= i < 127 and not bytes([i]).isalnum() and i != 39 for i in range(256)])
+PLAIN_SIGNS = SIGNS & ~np.isin(np.arange(256), list(b"<|>"))
 
 PIECE = {"doc_id": "bigint", "start": "bigint", "doc_tokens": "bigint", "ids": "binary"}
 OUT = {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint",
@@ -47,66 +50,82 @@ class Encoder:
 
     The vocabulary drops white space and never joins across it, so the ids of a text are
     those of its chunks between white space, and each distinct chunk is encoded once.
-    Nor does it tell cases apart or join a letter with a mark, so A-Z are lowered first
-    and a mark that ends a word is set apart: fewer distinct chunks, the same ids.
+    Nor does it tell cases apart or join a letter with a sign behind it (but for the
+    apostrophe), so A-Z are lowered first and the signs set apart: fewer distinct chunks,
+    the same ids.
     """
 
     def __init__(self, path: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
+        # For lower-case words, which need no normalizing and no search for their ends.
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a word
+        self.last[[i for token, i in self.tokenizer.get_vocab().items()
+                   if suffix and token.endswith(suffix)]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     @staticmethod
     def plain(texts: pa.Array) -> pa.Array:
-        """The texts with A-Z lowered, and a space between an ASCII letter and a mark that
-        stands before white space or the end."""
+        """The texts with A-Z lowered, and a space between an ASCII or Latin-1 letter and
+        an ASCII sign behind it."""
         ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:][: len(texts) + 1]
         raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]: ends[-1]]
         ends = ends - ends[0]
         if not len(raw):
             return texts
+        signs = PLAIN_SIGNS
         if not pc.any(pc.match_substring(texts, "<|")).as_py():  # else it names a token
-            raw = np.where((raw >= 65) & (raw <= 90), raw | 32, raw)
-        letter = ((raw | 32) >= 97) & ((raw | 32) <= 122)
-        before_space = np.append(np.isin(raw[1:], SPACES), True)
-        before_space[ends[1:][ends[1:] > 0] - 1] = True
-        cut = np.flatnonzero(letter[:-1] & (np.isin(raw, MARKS) & before_space)[1:]) + 1
+            raw, signs = LOWER[raw], SIGNS
+        letter = LETTERS[raw]
+        letter[1:] |= (raw[:-1] == 0xC3) & LATIN[raw[1:]]
+        cut = np.flatnonzero(letter[:-1] & signs[raw[1:]]) + 1
         data = np.insert(raw, cut, 32)
         ends = (ends + np.searchsorted(cut, ends)).astype(np.int32)
         return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(data))
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encode chunks that are not known yet: Latin words in one go, as each of them is
-        one word to the tokenizer, the others one by one."""
-        words = [c for c in chunks if c.isalpha() and max(c) < "\u0250" and "\u0130" not in c]
-        code = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids, size = np.array(code.ids, self.dtype).tobytes(), np.dtype(self.dtype).itemsize
-        ends = (np.cumsum(np.bincount(np.array(code.word_ids, np.int64),
-                                      minlength=len(words))) * size).tolist()
-        self.young.update(zip(words, (ids[a:b] for a, b in zip([0, *ends], ends))))
-        other = list(set(chunks).difference(words))
+    def learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Codes of distinct chunks: Latin words in one go, as each of them is one word to
+        the tokenizer, the others one by one."""
+        out = dict.fromkeys(chunks)
+        words = [c for c in chunks if c.isalpha() and (
+            c.isascii() or max(c) < "\u0250" and "\u0130" not in c)]
+        code = self.words.encode_batch_fast([" ".join(words).lower()], add_special_tokens=False)
+        ids = np.array(code[0].ids, self.dtype)
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * ids.itemsize).tolist()
+        if len(ends) == len(words):  # the vocabulary marks the ends of words
+            joined = ids.tobytes()
+            out.update(zip(words, [joined[a:b] for a, b in zip([0, *ends], ends)]))
+        other = [c for c, code in out.items() if code is None]
         for part, code in zip(other, self.tokenizer.encode_batch_fast(
                 other, add_special_tokens=False)):
-            self.young[part] = np.array(code.ids, self.dtype).tobytes()
+            out[part] = np.array(code.ids, self.dtype).tobytes()
+        return out
 
     def codes(self, chunks: list[str]) -> list[bytes]:
         if len(self.young) > CHUNKS_KEPT:
             self.young, self.old = {}, self.young
         out = list(map(self.young.get, chunks))
-        missing = [c for c, code in zip(chunks, out) if code is None]
+        missing = [i for i, code in enumerate(out) if code is None]
         if missing:
-            again = {c: self.old[c] for c in missing if c in self.old}
-            self.young.update(again)
-            self.learn([c for c in missing if c not in again])
-            out = list(map(self.young.__getitem__, chunks))
+            asked = [chunks[i] for i in missing]
+            found = {c: code for c in asked if (code := self.old.get(c)) is not None}
+            found.update(self.learn([c for c in asked if c not in found]))
+            self.young.update(found)
+            for i, c in zip(missing, asked):
+                out[i] = found[c]
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's ids end."""
         lists = pc.ascii_split_whitespace(self.plain(pc.fill_null(texts.cast(pa.string()), "")))
         words = lists.flatten().dictionary_encode()
-        codes = self.codes(words.dictionary.to_pylist())
+        codes = self.codes(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         table = np.frombuffer(b"".join(codes), self.dtype)
         sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // np.dtype(
             self.dtype).itemsize

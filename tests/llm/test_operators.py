@@ -829,6 +829,31 @@ def test_encoder_equals_tokenizer():
             assert ids[starts[i]:starts[i + 1]].tolist() == want, repr(t)
 
 
+def test_words_with_signs_are_encoded_once():
+    """All Latin letters beside all signs: the tokenizer's ids, and no word is learned again
+    for the signs behind it."""
+    import pyarrow as pa
+
+    letters = [c for i in range(65, 0x250) if (c := chr(i)).isalpha()]
+    signs = [chr(i) for i in range(33, 127) if not chr(i).isalnum()]
+    rng = random.Random(5)
+    texts = [f"{c}{s}{c} {c}q{s}{s}" for c in letters for s in signs]
+    texts += ["".join(rng.choices(letters + 9 * signs + [" "] * 60, k=60)) for _ in range(300)]
+    texts += ["×. ÷. e\u0301. e.\u0301 =\u0338 a=\u0338", "é<|endoftext|>. É.<|endoftext|>É|"]
+    encoder = packing.Encoder(packing.TOKENIZER, "<u2")
+    for part in (texts[:-1], texts[-2:]):
+        ids, ends = encoder.encode(pa.array(part, pa.string()))
+        starts = [0, *ends.tolist()]
+        for i, t in enumerate(part):
+            want = encoder.tokenizer.encode(t, add_special_tokens=False).ids
+            assert ids[starts[i]:starts[i + 1]].tolist() == want, repr(t)
+    encoder = packing.Encoder(packing.TOKENIZER, "<u2")
+    encoder.encode(pa.array(["été river"]))
+    known = set(encoder.young)
+    encoder.encode(pa.array(["été. été&&& été) river,*** River%%%", "été.%%% river|"]))
+    assert not {c for c in set(encoder.young) - known if any(x.isalpha() for x in c)}
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_windows(seed):
     rng = random.Random(seed)
